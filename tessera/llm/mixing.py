@@ -91,10 +91,7 @@ def temperature_mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     rows = docs.withColumn("_tokens", tokens)
     if slim:
         rows = written(rows.drop(text))
-        lean = rows
-    else:
-        lean = rows = written(rows)
-    plan = mixing_plan(lean.select(source, "_tokens"), source, **targets)
+    plan = mixing_plan(rows.select(source, "_tokens"), source, **targets)
     n_rows = sum(r["docs"] for r in plan)
     blocks = max(1, math.ceil(sum(r["budget"] for r in plan) / block_tokens))
     most = max((math.ceil(r["budget"] / r["tokens"]) for r in plan if r["tokens"]), default=1)
