@@ -1,21 +1,18 @@
 """Word shingles of whole texts as 64-bit fingerprints, computed on whole Arrow batches.
 
 Words are runs of bytes other than the six ASCII white-space characters, after lower-casing A-Z.
-A word's fingerprint is a polynomial over its UTF-8 bytes modulo 2**64, mixed; a shingle's is a
-mixed combination of the fingerprints of its words in order.  Every step is a numpy operation over
-the concatenated bytes of a batch, so no Python code runs per word.
+A word's fingerprint folds its bytes, eight at a time, and its length; a shingle's folds the
+fingerprints of its words in order.  Every step is a numpy operation over the concatenated bytes
+of a batch, so no Python code runs per word.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: A-Z to lower case, the six white-space characters to space.
+_PLAIN = bytes(32 if b in (9, 10, 11, 12, 13, 32) else b + 32 if 65 <= b <= 90 else b for b in range(256))
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 #: Bytes handled at once; a longer text is handled alone.
 CHUNK_BYTES = 4 << 20
 
@@ -29,30 +26,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
-
-
-def _power(kind: str, base: np.uint64, n: int) -> np.ndarray:
-    if len(_powers[kind]) < n:
-        steps = np.full(1 << max(10, int(n - 1).bit_length()), base, np.uint64)
-        steps[0] = 1
-        _powers[kind] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[kind][:n]
-
-
-def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words_of(joined: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and fingerprint of every word of the bytes given."""
-    if not len(data):
-        none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, np.uint64)
-    data = _LOWER[data]
-    inside = ~_SPACE[data]
-    edges = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    with np.errstate(over="ignore"):
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_VALUE[data] * _power("up", _BASE, len(data)), dtype=np.uint64)))
-        prints = mix((sums[ends] - sums[starts]) * _power("down", _BASE_INVERSE, len(data))[starts] + (ends - starts).astype(np.uint64))
+    plain = joined.translate(_PLAIN) + b" " * 8
+    data = np.frombuffer(plain, np.uint8)
+    inside = np.concatenate(([False], data != 32))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    eights = np.ndarray(len(plain) - 7, "<u8", plain, strides=(1,))
+    lengths = ends - starts
+    prints = mix(lengths.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    live, at = np.arange(len(starts)), 0
+    while len(live):
+        left = np.minimum(lengths[live] - at, 8)
+        prints[live] = mix(prints[live] ^ (eights[starts[live] + at] & _MASKS[left]))
+        at += 8
+        live = live[lengths[live] > at]
     return starts, ends, prints
 
 
@@ -73,7 +62,7 @@ def word_prints(texts: list[bytes]) -> list[np.ndarray]:
     out: list[np.ndarray] = []
     for _, some in batches(texts):
         joined = b"\n".join(some) + b"\n"
-        starts, _, prints = words_of(np.frombuffer(joined, np.uint8))
+        starts, _, prints = words_of(joined)
         bounds = np.cumsum([len(t) + 1 for t in some])
         out += np.split(prints, np.searchsorted(starts, bounds)[:-1])
     return out
