@@ -23,16 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .graph import attach
 from .runtime import text_of, written
 
 #: Nodes at first, and bits that each round takes off their numbers (fan-in 16).
 NODE_BITS, FAN_BITS = 8, 4
 #: Digests that one slice holds on average at most.
 SLICE_ROWS = 200_000
-#: At most so many groups of copies are joined by broadcast.
-HEAVY_GROUPS = 1000
 _RUN = "slice int, node int, digest string, keep_id long, group_size long, n_bytes long, second long"
 
+_FIELDS = pa.schema([("slice", pa.int32()), ("node", pa.int32()), ("digest", pa.string()), *((c, pa.int64()) for c in ("keep_id", "group_size", "n_bytes", "second"))])
+
 
 def _fold(largest: bool):
     """One streaming pass over rows sorted by slice, node and digest: rows of one digest become one."""
@@ -40,7 +41,8 @@ def _fold(largest: bool):
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            table = pa.Table.from_batches([batch]).cast(_FIELDS)  # Spark marks columns that are never null, and says so differently from run to run
+            table = table if held is None else pa.concat_tables([held, table])
             if not table.num_rows:
                 continue
             keys = table.select(["slice", "node", "digest"]).to_pandas()
@@ -83,10 +85,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", kee
     rows = written(docs.select(F.col(id_col).cast("long").alias("id"), F.sha2(t, 256).alias("digest"), F.octet_length(t).cast("long").alias("n_bytes"), F.xxhash64(t).alias("second")))
     n_rows = rows.count()
     groups = written(digest_groups(rows, n_rows, keep == "largest").where("group_size > 1"))
-    heavy = groups.where(F.col("group_size") >= max(1000, n_rows // HEAVY_GROUPS))  # HEAVY_GROUPS rows at most
-    rest = groups.where(F.col("group_size") < max(1000, n_rows // HEAVY_GROUPS))
-    rows = rows.select("id", "digest")
-    joined = rows.join(F.broadcast(heavy), "digest").unionByName(rows.join(F.broadcast(heavy.select("digest")), "digest", "left_anti").join(rest, "digest", "left"), allowMissingColumns=True)
+    joined = attach(rows.select("id", "digest"), groups, "digest", "group_size", n_rows)
     keep_id, size = F.coalesce("keep_id", "id"), F.coalesce("group_size", F.lit(1).cast("long"))
     return joined.select(F.col("id").alias(id_col), keep_id.alias("keep_id"), size.alias("group_size"), F.col("id").eqNullSafe(keep_id).alias("kept"), F.col("digest").alias("text_sha256"))
 
