@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-LEAF, FAN = 32, 4
+LEAF, FAN = 64, 4
 #: Bits of a signature: a power of two, at least twice the set's size and at least this.
 LEAST_BITS = 512
 
@@ -43,7 +43,9 @@ class Tree:
         self.order = np.argsort(sizes, kind="stable")
         self.sizes = sizes[self.order].astype(np.int64)
         self.bitmaps = [np.frombuffer(bitmaps[k], np.uint64) for k in self.order]
-        edges = [*range(0, len(sizes), LEAF), len(sizes)]
+        edges = [0]
+        while edges[-1] < len(sizes):  # a leaf's sizes differ by less than half, so its bitmaps keep nearly their own width
+            edges.append(min(edges[-1] + LEAF, int(np.searchsorted(self.sizes, 1.5 * self.sizes[edges[-1]], "right"))))
         #: By level, from the leaves: (first, end, words, OR, most tokens beyond the bits of a set).
         self.levels = [[self._leaf(a, b) for a, b in zip(edges, edges[1:], strict=False)]]
         while len(self.levels[-1]) > 1:
@@ -120,6 +122,7 @@ def linked_pairs(left: Tree, right: Tree, left_ids: np.ndarray, right_ids: np.nd
         apart = np.bitwise_count(rows_x[:, None, :] ^ rows_y[None, :, :]).sum(axis=2, dtype=np.int64)
         total = left.sizes[x[0] : x[1], None] + right.sizes[None, y[0] : y[1]]
         fits = up * apart <= down * total
+        fits &= 100 * np.minimum(left.sizes[x[0] : x[1], None], right.sizes[None, y[0] : y[1]]) >= percent * np.maximum(left.sizes[x[0] : x[1], None], right.sizes[None, y[0] : y[1]])
         if same and la == lb and a == b:
             fits &= np.triu(np.ones(fits.shape, bool), 1)
         found = np.argwhere(fits)
