@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, exact_dedup, mixing, ngram_join, pii, secrets, sharding, toxicity
+from . import decontamination, exact_dedup, html_extract, mixing, ngram_join, pii, secrets, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_minimax_shards": sharding.op1_minimax_shards,
@@ -11,6 +11,8 @@ QUERIES = {
     "op4_weak_supervision_pii": pii.op4_weak_supervision_pii,
     "op5_signature_tree_join": ngram_join.op5_signature_tree_join,
     "op6_latent_decontamination": decontamination.op6_latent_decontamination,
+    "op7_character_ratio_urls": url_filter.op7_character_ratio_urls,
+    "op8_boosted_dom_extraction": html_extract.op8_boosted_dom_extraction,
     "op9_guess_cost_secrets": secrets.op9_guess_cost_secrets,
     "op10_multiple_instance_toxicity": toxicity.op10_multiple_instance_toxicity,
 }
