@@ -1,20 +1,8 @@
-"""The registered queries and their SQL, by name."""
+"""All registered queries and their SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from tessera.plans import contents, entities, relational  # noqa: F401  they register their queries
+from tessera.plans.registry import ORACLE_SQL, QUERIES
 
-
-def firm_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    roles = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_suppkey").agg(F.count("*").alias("n_roles"))
-    firms = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_name")
-    return roles.join(firms, F.col("l_suppkey") == F.col("s_suppkey")).select("s_suppkey", "s_name", "n_roles").orderBy(F.desc("n_roles"), "s_suppkey").limit(50)
-
-
-QUERIES = {"firm_leaderboard": firm_leaderboard}
-ORACLE_SQL = {
-    "firm_leaderboard": """
-        SELECT s_suppkey, s_name, count(*) AS n_roles FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-        GROUP BY s_suppkey, s_name ORDER BY n_roles DESC, s_suppkey LIMIT 50"""
-}
+__all__ = ["ORACLE_SQL", "QUERIES"]
