@@ -83,36 +83,38 @@ def mixing_plan(docs: DataFrame, source: str = "source", tokens: str = "_tokens"
 
 
 def temperature_mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str = "source", block_tokens: int = BLOCK_TOKENS, slim: bool = False, **targets) -> DataFrame:
-    """The documents as often as their source's budget asks, with _pass (0 for the first use), _block and _key (the order within a block).
+    """The documents as often as their source's budget asks, with a column ``mix``: tokens, weight, use (0 for the first), block, order_key (the order within a block).
 
-    slim: without the text.
+    slim: only the id and the source beside it.  A column already named ``mix`` is replaced.
     """
+    docs = docs.drop("mix")
+    kept = [F.col(id_col), F.col(source)] if slim else [F.col(c) for c in docs.columns]
     tokens = F.regexp_count(text_of(text), F.lit(r"[^ \t-\r]+")).cast("long")
-    rows = docs.withColumn("_tokens", tokens)
-    if slim:
-        rows = written(rows.drop(text))
-    plan = mixing_plan(rows.select(source, "_tokens"), source, **targets)
+    # packed, so that no column of the documents can clash with those used here
+    rows = docs.select(F.struct(*kept).alias("_row"), F.col(id_col).alias("_id"), F.col(source).cast("string").alias("_source"), tokens.alias("_tokens"))
+    rows = written(rows) if slim else rows
+    plan = mixing_plan(rows.select("_source", "_tokens"), "_source", **targets)
     n_rows = sum(r["docs"] for r in plan)
     blocks = max(1, math.ceil(sum(r["budget"] for r in plan) / block_tokens))
     most = max((math.ceil(r["budget"] / r["tokens"]) for r in plan if r["tokens"]), default=1)
-    spark = docs.sparkSession
-    table = spark.createDataFrame([(r["source"], r["tokens"], max(r["budget"], r["tokens"] if targets.get("budget_tokens") is None else 0), r["weight"]) for r in plan], "_source string, _all long, _budget long, _weight double")
+    whole = targets.get("budget_tokens") is None
+    table = docs.sparkSession.createDataFrame([(r["source"], r["tokens"], max(r["budget"], r["tokens"] if whole else 0), r["weight"]) for r in plan], "_name string, _all long, _budget long, _weight double")
     # a row a source: small while sources are few; Spark shuffles it otherwise
-    rows = rows.join(table, F.col(source).cast("string").eqNullSafe(F.col("_source")))
+    rows = rows.join(table, F.col("_source").eqNullSafe(F.col("_name")))
     passes = F.when(F.col("_all") > 0, F.ceil(F.col("_budget") / F.col("_all"))).otherwise(1).cast("int")
-    rows = rows.withColumn("_pass", F.explode(F.sequence(F.lit(0), F.least(passes, F.lit(most)) - 1)) if most > 1 else F.lit(0))
-    rows = rows.withColumn("_key", F.xxhash64(F.lit(SEED), "_pass", id_col))
-    rows = running_totals(rows.withColumn("_part", F.coalesce(F.concat(F.lit("s"), "_source"), F.lit("n"))), ["_part", "_pass"], "_key", [id_col, "_tokens"], "_tokens", "_run", max(1, n_rows))
-    at = F.col("_run") + F.col("_all") * F.col("_pass")
-    rows = rows.where((F.col("_pass") == 0) | (at < F.col("_budget")))
-    if targets.get("budget_tokens") is not None:
-        rows = rows.where((at < F.col("_budget")) | (F.col("_all") == 0))
+    rows = rows.withColumn("_use", F.explode(F.sequence(F.lit(0), F.greatest(F.least(passes, F.lit(most)), F.lit(1)) - 1)))
+    rows = rows.withColumn("_key", F.xxhash64(F.lit(SEED), "_use", "_id"))
+    rows = rows.withColumn("_part", F.coalesce(F.concat(F.lit("s"), "_source"), F.lit("n")))
+    rows = running_totals(rows, ["_part", "_use"], "_key", ["_id", "_tokens"], "_tokens", "_run", max(1, n_rows))
+    at = F.col("_run") + F.col("_all") * F.col("_use")
+    rows = rows.where(((F.col("_use") == 0) if whole else (F.col("_all") == 0)) | (at < F.col("_budget")))
     block = F.when(F.col("_budget") > 0, F.least(F.floor(at * blocks / F.col("_budget")), F.lit(blocks - 1))).otherwise(0)
-    return rows.withColumn("_block", block.cast("int")).drop("_part", "_source", "_all", "_budget", "_run")
+    mix = F.struct(F.col("_tokens").alias("tokens"), F.col("_weight").alias("weight"), F.col("_use").alias("use"), block.cast("int").alias("block"), F.col("_key").alias("order_key"))
+    return rows.select("_row.*", mix.alias("mix"))
 
 
 def op3_temperature_mixing(spark, sf_dir: str) -> DataFrame:
     """The whole schedule: a row for every use of a document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     out = temperature_mix(docs, slim=True)
-    return out.select("doc_id", "source", F.col("_tokens").alias("n_tokens"), F.round("_weight", 9).alias("weight"), F.col("_pass").alias("use"), F.col("_block").alias("block"), F.col("_key").alias("order_key"))
+    return out.select("doc_id", "source", F.col("mix.tokens").alias("n_tokens"), F.round("mix.weight", 9).alias("weight"), "mix.use", "mix.block", "mix.order_key")

@@ -51,14 +51,6 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def unused(df: DataFrame, name: str) -> str:
-    """A column name like the one given that the table does not have, in any letter case."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 #: Rows that one fine bucket of running_totals holds on average, and fine buckets of a coarse one.
 FINE_ROWS, COARSE = 20_000, 1024
 

@@ -152,16 +152,15 @@ def number_rows(df: DataFrame, group: str, order: list[str], out: str) -> DataFr
 
 def minimax_shards(docs: DataFrame, shards: int = SHARDS, text: str = "text", id_col: str = "doc_id", overhead: int = OVERHEAD, slim: bool = False) -> DataFrame:
     """Adds size, shard (0 to shards - 1) and slot (gapless from 0 within the shard).  slim: the text's crc32 in place of the text and all other columns."""
-    docs = docs.drop(*(c for c in docs.columns if c.lower() in ("size", "shard", "slot")))
-    rows = docs.withColumn("size", (F.octet_length(text_of(text)) + overhead).cast("long")).withColumn("_hash", F.xxhash64(text_of(text)))
+    t = text_of(text)
+    kept = [F.col(id_col), F.crc32(t).alias("text_crc32")] if slim else [F.col(c) for c in docs.columns if c.lower() not in ("size", "shard", "slot")]
+    # packed, so that no column of the documents can clash with those used here
+    rows = docs.select(F.struct(*kept).alias("_row"), F.col(id_col).alias("_id"), (F.octet_length(t) + overhead).cast("long").alias("size"), F.xxhash64(t).alias("_hash"))
     if slim:
-        rows = rows.select(id_col, "size", F.crc32(text_of(text)).alias("text_crc32"), "_hash")
-        rows = lean = written(rows)
-    else:
-        lean = written(rows.select("_hash", "size"))
-    cuts, _ = plan_cuts(lean, shards)
+        rows = written(rows)
+    cuts, _ = plan_cuts(rows if slim else written(rows.select("_hash", "size")), shards)
     shard = sum(((F.col("_hash") >= c).cast("int") for c in cuts), F.lit(0))
-    return number_rows(rows.withColumn("shard", shard), "shard", ["_hash", id_col], "slot").drop("_hash")
+    return number_rows(rows.withColumn("shard", shard), "shard", ["_hash", "_id"], "slot").select("_row.*", "size", "shard", "slot")
 
 
 def op1_minimax_shards(spark, sf_dir: str) -> DataFrame:
