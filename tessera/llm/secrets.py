@@ -40,8 +40,11 @@ CONTEXT = re.compile(
 )
 #: Base-10 logarithm of the guesses from which a value counts; words of the dictionary; longest word and value part looked at by it.
 GUESSES, DICTIONARY, LONGEST_WORD = 10.0, 1 << 16, 24
+#: How often a word must occur, so that a secret is no word of the dictionary.
+LEAST_COUNT = 5
 #: Fixed rows of keys that walks follow.
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
+_PLACE = {c: (r, k) for r, row in enumerate(KEY_ROWS) for k, c in enumerate(row)}
 _NEAR = {a: {b for dr in (-1, 0, 1) for dc in (-1, 0, 1) if (dr or dc) and 0 <= r + dr < 4 and 0 <= c + dc < len(KEY_ROWS[r + dr]) for b in KEY_ROWS[r + dr][c + dc]} for r, row in enumerate(KEY_ROWS) for c, a in enumerate(row)}
 _DATE = re.compile(r"(?:(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d)")
 _LOG = [0.0, *(math.log10(k) for k in range(1, 200))]
@@ -68,7 +71,8 @@ def _runs(value: str) -> Iterator[tuple[int, int, float]]:
     while k < n:
         end, turns, last = k + 1, 0, None
         while end < n and lower[end] in _NEAR.get(lower[end - 1], ()):
-            step = ord(lower[end]) - ord(lower[end - 1])
+            (r0, c0), (r1, c1) = _PLACE[lower[end - 1]], _PLACE[lower[end]]
+            step = (r1 - r0, c1 - c0)
             turns += last is not None and step != last
             last, end = step, end + 1
         if end - k >= 4:
@@ -134,10 +138,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_ranks(docs: DataFrame, text: str = "text") -> dict[str, int]:
-    """The ranks of the DICTIONARY most frequent words of three to LONGEST_WORD letters over all documents."""
+    """The ranks of the DICTIONARY most frequent words of three to LONGEST_WORD letters, and no other characters, over all documents."""
     words = docs.select(text_of(text)).mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     plain = F.regexp_replace("word", r"^\P{L}+|\P{L}+$", "")
-    words = words.groupBy(plain.alias("word")).agg(F.sum("n").alias("n")).where(f"length(word) between 3 and {LONGEST_WORD}")
+    words = words.groupBy(plain.alias("word")).agg(F.sum("n").alias("n")).where(f"length(word) between 3 and {LONGEST_WORD} and n >= {LEAST_COUNT}").where(F.col("word").rlike(r"^\p{L}+$"))
     top = words.orderBy(F.desc("n"), "word").limit(DICTIONARY).select("word").collect()
     return {r["word"]: k + 1 for k, r in enumerate(top)}
 
