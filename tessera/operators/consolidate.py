@@ -55,7 +55,7 @@ def merge_children(rows: DataFrame, mapping: DataFrame, column: str, keys: list[
 
 def merge_entities(entities: DataFrame, mapping: DataFrame, inherit: list[str] = (), aliases: bool = False) -> DataFrame:
     """Entities without those that merged: a root inherits the first value it lacks, and with ``aliases`` all names of the others."""
-    rows = repoint(entities.withColumn("_root", F.col("id")), mapping, "_root") if "_root" not in entities.columns else entities
+    rows = repoint(entities.withColumn("_root", F.col("id")), mapping, "_root")
     lost = rows.where("_moved").groupBy(F.col("_root").alias("id")).agg(*(F.min_by(c, F.when(F.col(c).isNotNull(), F.col("id"))).alias(f"_{c}") for c in inherit), *([F.flatten(F.collect_list(F.array_append("aliases", F.col("name")))).alias("_aliases")] if aliases else []), F.count("*").alias("_n"))
     out = entities.join(mapping.where("id <> root").select("id"), "id", "left_anti").join(lost, "id", "left")
     for c in inherit:

@@ -43,9 +43,9 @@ def merged_roots(pairs: DataFrame) -> DataFrame:
 
 def repoint(rows: DataFrame, mapping: DataFrame, column: str) -> DataFrame:
     """Rows with ``column`` led from id to root where mapping (id, root) says so; adds _moved."""
-    m = mapping.select(F.col("id").alias("_id"), F.col("root").alias("_root"))
+    m = mapping.select(F.col("id").alias("_id"), F.col("root").alias("_to"))
     out = rows.join(m, F.col(column) == F.col("_id"), "left")
-    return out.withColumn("_moved", F.coalesce(F.col("_root") != F.col(column), F.lit(False))).withColumn(column, F.coalesce("_root", column)).drop("_id", "_root")
+    return out.withColumn("_moved", F.coalesce(F.col("_to") != F.col(column), F.lit(False))).withColumn(column, F.coalesce("_to", column)).drop("_id", "_to")
 
 
 def teaming(roles: DataFrame, project: str, firm: str) -> DataFrame:

@@ -94,7 +94,7 @@ def place_agrees(a: dict[str, Column], b: dict[str, Column]) -> Column:
 
 def project_score(sim: Column, place: Column, cost: Column, year: Column) -> Column:
     """0.7 of the names' similarity, and gains and losses for what agrees or does not, within 0 and 1."""
-    part = lambda c, yes, no: F.when(c, yes).when(~c, no).otherwise(0.0)
+    part = lambda c, yes, no: F.when(c.cast("boolean"), yes).when(~c.cast("boolean"), no).otherwise(0.0)
     total = 0.7 * sim + part(place, 0.15, -0.20) + part(cost, 0.05, -0.10) + part(year, 0.05, -0.10)
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), total))
 
