@@ -143,12 +143,15 @@ def teaming_pairs(t: Tables) -> DataFrame:
     return graph.teaming(t.lineitem, "l_orderkey", "l_suppkey")
 
 
-@query("SELECT s_suppkey, p_partkey FROM (SELECT s_suppkey FROM supplier), (SELECT p_partkey FROM part WHERE p_size = 1) WHERE (s_suppkey, p_partkey) NOT IN (SELECT l_suppkey, l_partkey FROM lineitem)")
+@query("WITH d AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem), m AS (SELECT DISTINCT a.l_suppkey AS a, b.l_suppkey AS b FROM d a JOIN d b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey) SELECT s.s_suppkey, count(DISTINCT o.s_suppkey) AS n_never FROM supplier s LEFT JOIN supplier o ON o.s_nationkey = s.s_nationkey AND o.s_suppkey <> s.s_suppkey AND NOT EXISTS (SELECT 1 FROM m WHERE m.a = s.s_suppkey AND m.b = o.s_suppkey) GROUP BY ALL")
 def never_teamed(t: Tables) -> DataFrame:
-    """Every firm and each of a stated set of small parts that it never supplied."""
-    parts = t.part.where("p_size = 1").select("p_partkey")
-    have = t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey")).distinct()
-    return t.supplier.select("s_suppkey").crossJoin(parts).join(have, ["s_suppkey", "p_partkey"], "left_anti")
+    """With how many firms of its nation a firm never shared a project: counted as a difference, without the pairs."""
+    home = t.supplier.select("s_suppkey", "s_nationkey")
+    met = graph.teaming(t.lineitem, "l_orderkey", "l_suppkey").select("a", "b")
+    both = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.join(home.toDF("a", "na"), "a").join(home.toDF("b", "nb"), "b").where("na = nb").groupBy(F.col("a").alias("s_suppkey")).agg(F.count("*").alias("met"))
+    sizes = home.groupBy("s_nationkey").agg(F.count("*").alias("n"))
+    return home.join(sizes, "s_nationkey").join(near, "s_suppkey", "left").select("s_suppkey", (F.col("n") - 1 - F.coalesce("met", F.lit(0))).alias("n_never"))
 
 
 @query("SELECT o_orderpriority, year(o_orderdate)::INTEGER AS year, count(*) AS n, round(quantile_cont(o_totalprice, 0.25), 4) AS p25, round(quantile_cont(o_totalprice, 0.5), 4) AS p50, round(quantile_cont(o_totalprice, 0.75), 4) AS p75 FROM orders GROUP BY ALL")
