@@ -10,8 +10,12 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
+def length(a: Column) -> Column:
+    return F.sqrt(dot(a, a))
+
+
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
+    return dot(a, b) / F.nullif(length(a) * length(b), F.lit(0.0))
 
 
 def nearest(rows: DataFrame, query: list[float], k: int, vector: str = "embedding", id_col: str = "id") -> DataFrame:
@@ -32,8 +36,9 @@ def nearest_each(rows: DataFrame, queries: DataFrame, k: int, vector: str = "emb
         blocks[-1].append((q["query_id"], [float(x) for x in q["query"]]))
     for block in blocks:
         some = rows.sparkSession.createDataFrame(block, f"query_id {queries.schema['query_id'].dataType.simpleString()}, query array<double>")
-        near = rows.select(F.col(id_col), F.col(vector)).join(F.broadcast(some), F.lit(True))  # 1,000 queries at most
-        near = near.select("query_id", id_col, F.round(cosine(F.col(vector), F.col("query")), digits).alias("similarity"))
+        some = some.withColumn("query_length", length(F.col("query")))
+        near = rows.select(F.col(id_col), F.col(vector), length(F.col(vector)).alias("length")).join(F.broadcast(some), F.lit(True))  # 1,000 queries at most
+        near = near.select("query_id", id_col, F.round(dot(F.col(vector), F.col("query")) / F.nullif(F.col("length") * F.col("query_length"), F.lit(0.0)), digits).alias("similarity"))
         out = near if out is None else out.unionByName(near)
     w = Window.partitionBy("query_id").orderBy(F.desc_nulls_last("similarity"), id_col)
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
