@@ -37,7 +37,7 @@ from .signature_tree import Forest, Tree, linked_pairs, signature
 
 WORDS, PERCENT = 5, 80
 #: Index entries of a bucket on average at most; groups up to PAIRED sets give pairs; sets of a block.
-BUCKET_ENTRIES, PAIRED, BLOCK = 1_000_000, 12, 2048
+BUCKET_ENTRIES, PAIRED, BLOCK = 1_000_000, 32, 2048
 #: Bytes of sets that one task of the exact step gets on average; bits of the filter on documents that take part in it.
 TASK_BYTES, FILTER_BITS = 32 << 20, 1 << 26
 
@@ -70,8 +70,15 @@ def _signatures(words: int, percent: int):
     return run
 
 
+_CELLS = ["bucket", "low", "high", "place", "sids", "sizes"]
+
+
 def _index(buckets: int):
-    """Batches of (sid, n, prefix) to one row a bucket of the shingles' hashes, with the entries as bytes."""
+    """Batches of (sid, n, prefix) to one row a bucket of the shingles' hashes, with the entries as bytes.
+
+    An entry is the low 40 bits of a shingle and the place of its set among those of the row.  Shingles
+    that agree in these bits and the bucket only make candidates of sets that the bitmaps then exclude.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,22 +94,33 @@ def _index(buckets: int):
             order = np.argsort(place, kind="stable")
             found, start = np.unique(place[order], return_index=True)
             parts = np.split(order, start[1:])
-            cells = [(tokens[p].tobytes(), sids[owner[p]].tobytes(), n[owner[p]].tobytes()) for p in parts] if len(found) else []
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *(pa.array([c[k] for c in cells], pa.binary()) for k in range(3))], ["bucket", "tokens", "sids", "sizes"])
+            cells = []
+            for p in parts if len(found) else []:
+                named, local = np.unique(owner[p], return_inverse=True)
+                low = tokens[p]
+                cells.append((low.astype(np.uint32).tobytes(), (low >> np.uint64(32)).astype(np.uint8).tobytes(), local.astype(np.int32 if len(named) > 65535 else np.uint16).tobytes(), sids[named].tobytes(), n[named].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *(pa.array([c[k] for c in cells], pa.binary()) for k in range(5))], _CELLS)
 
     return run
 
 
-def _read(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(x for x in table[name].to_pylist()), kind)
+def _entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A bucket's entries: shingle, set and its size."""
+    out = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32))]
+    for low, high, place, sids, sizes in zip(*(table[c].to_pylist() for c in _CELLS[1:]), strict=True):
+        tokens = np.frombuffer(low, np.uint32) | np.frombuffer(high, np.uint8).astype(np.uint64) << np.uint64(32)
+        at = np.frombuffer(place, np.uint16 if len(place) == 2 * len(tokens) else np.int32)
+        out.append((tokens, np.frombuffer(sids, np.int64)[at], np.frombuffer(sizes, np.int32)[at]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def _groups(percent: int):
-    """A bucket of the index to pairs of sets (small groups) and to blocks of sets to traverse (large ones)."""
+    """A bucket of the index to pairs of sets (a, b; small groups) and to blocks of sets to traverse (block, side, a; large ones)."""
     fields = [("block", pa.int64()), ("side", pa.int32()), ("a", pa.int64()), ("b", pa.int64())]
 
     def run(table: pa.Table) -> pa.Table:
-        tokens, sids, sizes = _read(table, "tokens", np.uint64), _read(table, "sids", np.int64), _read(table, "sizes", np.int32)
+        tokens, sids, sizes = _entries(table)
+        bucket = int(table["bucket"][0].as_py())
         order = np.lexsort((sids, sizes, tokens))
         tokens, sids, sizes = tokens[order], sids[order], sizes[order]
         new = np.ones(len(tokens), bool)
@@ -127,7 +145,7 @@ def _groups(percent: int):
                 for j, (c, d) in enumerate(cuts[i:], i):
                     if 100 * int(sizes[b - 1]) < percent * int(sizes[c]):
                         break
-                    key = int(mix(np.array([int(tokens[s]) ^ (i << 20 | j)], np.uint64)).view(np.int64)[0])
+                    key = int(np.bitwise_xor(*mix(np.array([bucket << 40 | int(tokens[s]), ~(i << 32 | j) & (1 << 64) - 1], np.uint64))).view(np.int64))
                     for side, (e, f) in enumerate([(a, b)] if i == j else [(a, b), (c, d)]):
                         blocks.append(np.full(f - e, key))
                         sides.append(np.full(f - e, side, np.int32))
@@ -242,7 +260,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     full = rows.where("n > 0")
     classes = written(full.groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("id").alias("least"), F.count("*").alias("copies")))
 
-    index = full.select("sid", "n", "prefix").mapInArrow(_index(buckets), "bucket int, tokens binary, sids binary, sizes binary")
+    index = full.select("sid", "n", "prefix").mapInArrow(_index(buckets), "bucket int, low binary, high binary, place binary, sids binary, sizes binary")
     found = written(index.groupBy("bucket").applyInArrow(_groups(percent), "block long, side int, a long, b long"))
     bits = classes.select("sid", "n", "bits")
     one, two = (bits.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
