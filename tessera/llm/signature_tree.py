@@ -1,6 +1,6 @@
 """Signature trees: an all-pairs join of token sets by Jaccard similarity within one task's worth of sets.
 
-A set's signature is a bitmap of hashed tokens, at least twice as wide as the set is large.  Sets are
+A set's signature is a bitmap of hashed tokens, at least as wide as the set is large.  Sets are
 sorted by size; LEAF of them make a leaf, FAN nodes make a node of the next level, and a node holds the
 OR of the bitmaps below it and the range of sizes.  Two trees (or one with itself) are traversed
 together.  A pair of nodes is dropped if their sizes cannot reach the threshold, if the bits that the
@@ -16,13 +16,13 @@ from collections.abc import Callable
 import numpy as np
 
 LEAF, FAN = 64, 4
-#: Bits of a signature: a power of two, at least twice the set's size and at least this.
-LEAST_BITS = 512
+#: Bits of a signature: a power of two, at least the set's size and at least this.
+LEAST_BITS = 256
 
 
 def signature(tokens: np.ndarray) -> bytes:
     """The bitmap of a set of 64-bit tokens.  Halving a bitmap by OR gives that of half the width."""
-    width = max(LEAST_BITS, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else LEAST_BITS
+    width = max(LEAST_BITS, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else LEAST_BITS
     bits = np.zeros(width, np.uint8)
     bits[(tokens >> np.uint64(24)).astype(np.int64) & (width - 1)] = 1
     return np.packbits(bits).tobytes()
