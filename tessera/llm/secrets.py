@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import text_of
+from .runtime import text_of, written
 
 #: Fixed patterns of the base kinds, in the order of ties.
 BASE = {
@@ -138,13 +138,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_ranks(docs: DataFrame, text: str = "text") -> dict[str, int]:
-    """The ranks of the DICTIONARY most frequent words of three to LONGEST_WORD letters, and no other characters, over all documents."""
+    """The ranks of the most frequent words of three to LONGEST_WORD letters, and no other characters, over all documents.
+
+    They are DICTIONARY at most: whole steps of frequency (a 64th of a doubling), from the top, while they fit.
+    """
     words = docs.select(text_of(text)).mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     plain = F.regexp_replace("word", r"^\P{L}+|\P{L}+$", "")
-    words = words.groupBy(plain.alias("word")).agg(F.sum("n").alias("n")).where(f"length(word) between 3 and {LONGEST_WORD} and n >= {LEAST_COUNT}").where(F.col("word").rlike(r"^\p{L}+$"))
-    top = words.orderBy(F.desc("n"), "word").limit(DICTIONARY).select("word").collect()
-    return {r["word"]: k + 1 for k, r in enumerate(top)}
-
+    words = words.groupBy(plain.alias("word")).agg(F.sum("n").alias("n")).where(f"length(word) between 3 and {LONGEST_WORD} and n >= {LEAST_COUNT}")
+    words = written(words.where(F.col("word").rlike(r"^\p{L}+$")).withColumn("step", F.floor(F.log2("n") * 64).cast("int")))
+    held, least = 0, 0  # the lowest step of frequency down to which there are DICTIONARY words at most: no task sends more
+    for r in words.groupBy("step").count().orderBy(F.desc("step")).collect():
+        held += r["count"]
+        if held > DICTIONARY:
+            least = r["step"] + 1
+            break
+    top = words.where(F.col("step") >= least).select("word", "n").collect()
+    return {r["word"]: k + 1 for k, r in enumerate(sorted(top, key=lambda r: (-r["n"], r["word"])))}
 
 
 def _scan(ranks: dict[str, int]):
