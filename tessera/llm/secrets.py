@@ -5,7 +5,7 @@ how many guesses it would take: dynamic programming finds the cheapest way to sp
 words, dates, repeats, keyboard walks and brute-force characters, where each piece costs the logarithm of
 its guesses.  A value that costs at least GUESSES is a span of kind ``guess``; one made of words or walks
 is not.  The dictionary is the corpus itself: a word costs the logarithm of its rank by frequency over
-all documents, for the DICTIONARY most frequent.
+all documents.  It is a table, as long as the corpus makes it: only the parts of the values are joined to it.
 
 Edge cases: null or empty texts have no span; ties in the dictionary's order are broken by the word; a
 repeated row is scanned like any other; an empty table gives an empty result; columns beside id and text
@@ -38,8 +38,8 @@ CONTEXT = re.compile(
     r"""(?ai:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credentials?|auth|bearer|login))"""
     r"""["']?[ \t]{0,4}(?:[:=]{1,2}>?|\bis\b)[ \t]{0,4}["'`]?([^\s"'`<>,;]{6,})"""
 )
-#: Base-10 logarithm of the guesses from which a value counts; words of the dictionary; longest word and value part looked at by it.
-GUESSES, DICTIONARY, LONGEST_WORD = 10.0, 1 << 16, 24
+#: Base-10 logarithm of the guesses from which a value counts; shortest and longest word and value part looked at by it.
+GUESSES, SHORTEST_WORD, LONGEST_WORD = 10.0, 3, 24
 #: How often a word must occur, so that a secret is no word of the dictionary.
 LEAST_COUNT = 5
 #: Fixed rows of keys that walks follow.
@@ -47,6 +47,9 @@ KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 _PLACE = {c: (r, k) for r, row in enumerate(KEY_ROWS) for k, c in enumerate(row)}
 _NEAR = {a: {b for dr in (-1, 0, 1) for dc in (-1, 0, 1) if (dr or dc) and 0 <= r + dr < 4 and 0 <= c + dc < len(KEY_ROWS[r + dr]) for b in KEY_ROWS[r + dr][c + dc]} for r, row in enumerate(KEY_ROWS) for c, a in enumerate(row)}
 _DATE = re.compile(r"(?:(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d)")
+#: Parts into which the rows of one value are dealt.
+DEALT = 16
+_LETTERS = re.compile(r"[^\W\d_]+")
 _LOG = [0.0, *(math.log10(k) for k in range(1, 200))]
 _DATE_COST, _YEAR_COST, _WALK_START = math.log10(365 * 120), math.log10(120), math.log10(47)
 
@@ -92,7 +95,7 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
     best = [0.0] * (n + 1)
     for end in range(1, n + 1):
         least = best[end - 1] + _char_cost(value[end - 1])
-        for start in range(max(0, end - LONGEST_WORD), end - 2):
+        for start in range(max(0, end - LONGEST_WORD), end - SHORTEST_WORD + 1):
             if best[start] < least and (rank := ranks.get(lower[start:end])):
                 part = value[start:end]
                 cost = math.log10(rank + 1) + (0.0 if part == lower[start:end] else 0.3 if part.istitle() or part.isupper() else 0.5 * _LOG[len(part)] + 0.5)
@@ -114,18 +117,27 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, kind) for a, _, b, kind in sorted(found)]
 
 
-def guess_spans(text: str, ranks: dict[str, int], base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Values in credential contexts that are hard to guess and meet no base span."""
+def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Values in credential contexts that meet no base span and are hard to guess without a dictionary: start, end, value."""
     if ":" not in text and "=" not in text and " is " not in text:
         return []
     out = []
     for m in CONTEXT.finditer(text):
         a, b = m.span(1)
-        if not any(a < e and s < b for s, e, _ in base) and guess_cost(m.group(1), ranks) >= GUESSES:
-            out.append((a, b, "guess"))
+        if not any(a < e and s < b for s, e, _ in base) and guess_cost(m.group(1), {}) >= GUESSES:
+            out.append((a, b, m.group(1)))
     return out
 
 
+def words_in(value: str) -> set[str]:
+    """The parts of a value that can be words of the dictionary."""
+    lower, found = value.lower(), set()
+    for m in _LETTERS.finditer(lower):
+        for a in range(m.start(), m.end() - SHORTEST_WORD + 1):
+            found.update(lower[a:b] for b in range(a + SHORTEST_WORD, min(m.end(), a + LONGEST_WORD) + 1))
+    return found
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: Counter[str] = Counter()
     for batch in batches:
@@ -137,47 +149,78 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["word", "n"])
 
 
-def word_ranks(docs: DataFrame, text: str = "text") -> dict[str, int]:
-    """The ranks of the most frequent words of three to LONGEST_WORD letters, and no other characters, over all documents.
-
-    They are DICTIONARY at most: whole steps of frequency (a 64th of a doubling), from the top, while they fit.
-    """
+def word_ranks(docs: DataFrame, text: str = "text") -> DataFrame:
+    """word, rank: all words of SHORTEST_WORD to LONGEST_WORD letters, and no other characters, by frequency over all documents."""
     words = docs.select(text_of(text)).mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     plain = F.regexp_replace("word", r"^\P{L}+|\P{L}+$", "")
-    words = words.groupBy(plain.alias("word")).agg(F.sum("n").alias("n")).where(f"length(word) between 3 and {LONGEST_WORD} and n >= {LEAST_COUNT}")
-    words = written(words.where(F.col("word").rlike(r"^\p{L}+$")).withColumn("step", F.floor(F.log2("n") * 64).cast("int")))
-    held, least = 0, 0  # the lowest step of frequency down to which there are DICTIONARY words at most: no task sends more
-    for r in words.groupBy("step").count().orderBy(F.desc("step")).collect():
-        held += r["count"]
-        if held > DICTIONARY:
-            least = r["step"] + 1
-            break
-    top = words.where(F.col("step") >= least).select("word", "n").collect()
-    return {r["word"]: k + 1 for k, r in enumerate(sorted(top, key=lambda r: (-r["n"], r["word"])))}
-
-
-def _scan(ranks: dict[str, int]):
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            base, spans = [], []
-            for text in batch.column(1).to_pylist():
-                text = text or ""
-                own = base_spans(text)
-                order = [*BASE, "guess"]
-                base.append([dict(zip(("start", "end", "kind"), s, strict=True)) for s in own])
-                spans.append([dict(zip(("start", "end", "kind"), s, strict=True)) for s in sorted(own + guess_spans(text, ranks, own), key=lambda s: (s[0], order.index(s[2])))])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, kind), pa.array(spans, kind)], ["_id", "base", "spans"])
-
-    return run
+    words = words.groupBy(plain.alias("word")).agg(F.sum("n").alias("n")).where(f"length(word) between {SHORTEST_WORD} and {LONGEST_WORD} and n >= {LEAST_COUNT}")
+    words = words.where(F.col("word").rlike(r"^\p{L}+$")).orderBy(F.desc("n"), "word").select("word", F.monotonically_increasing_id().alias("_at"))
+    words = written(words)  # the upper bits are the sorted partition, the lower 33 the place in it
+    part = F.shiftright("_at", 33)
+    sizes = sorted((r["part"], r["count"]) for r in words.groupBy(part.alias("part")).count().collect())
+    before, held = [], 0
+    for at, n in sizes:
+        before.append((at, held))
+        held += n
+    before = docs.sparkSession.createDataFrame(before, "_part long, _before long")
+    words = words.withColumn("_part", part).join(F.broadcast(before), "_part")
+    return words.select("word", (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).alias("rank"))
+
+
+_KIND = "array<struct<start int, end int, kind string>>"
+_SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
+_VALUE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())]))
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        base, values = [], []
+        for text in batch.column(1).to_pylist():
+            own = base_spans(text)
+            base.append([dict(zip(("start", "end", "kind"), s, strict=True)) for s in own])
+            values.append([dict(zip(("start", "end", "value"), s, strict=True)) for s in candidates(text, own)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, _SPAN), pa.array(values, _VALUE)], ["_id", "base", "values"])
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            words = sorted(words_in(value))
+            yield pa.RecordBatch.from_arrays([pa.array([key] * len(words), pa.int64()), pa.array(words, pa.string())], ["_key", "word"])
+
+
+def _price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hard = [v for v, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if guess_cost(v, {w["word"]: w["rank"] for w in words or ()}) >= GUESSES]
+        yield pa.RecordBatch.from_arrays([pa.array(hard, pa.string())], ["value"])
+
+
+def hard_values(values: DataFrame, ranks: DataFrame) -> DataFrame:
+    """values: value, distinct.  Those that stay hard to guess when their parts that are words cost their ranks."""
+    values = written(values.withColumn("_key", F.monotonically_increasing_id()))
+    parts = written(values.select("_key", "value").mapInArrow(_parts, "_key long, word string"))
+    used = parts.select("word").distinct().join(ranks.hint("merge"), "word")  # a word that many values have is one row here
+    words = parts.join(used, "word").groupBy("_key").agg(F.collect_list(F.struct("word", "rank")).alias("words"))
+    return values.join(words, "_key", "left").select("value", "words").mapInArrow(_price, "value string")
 
 
 def scan_secrets(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per document: id, base spans and all spans (start, end, kind)."""
-    kind, spans = docs.schema[id_col].dataType.simpleString(), "array<struct<start int, end int, kind string>>"
-    out = docs.select(F.col(id_col), text_of(text)).mapInArrow(_scan(word_ranks(docs, text)), f"_id {kind}, base {spans}, spans {spans}")
-    return out.withColumnRenamed("_id", id_col)
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col), text_of(text)).mapInArrow(_scan, f"_id {kind}, base {_KIND}, values array<struct<start int, end int, value string>>")
+    rows = written(rows.withColumn("_row", F.monotonically_increasing_id()))
+    some = rows.where(F.size("values") > 0).select("_id", "base", "_row", F.explode("values").alias("_v"))
+    hard = hard_values(some.select(F.col("_v.value").alias("value")).distinct(), word_ranks(docs, text))
+    hard = hard.select(F.col("value").alias("_value"), F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))).alias("_deal"))
+    some = some.withColumn("_deal", F.pmod("_row", F.lit(DEALT)).cast("int"))  # a value that many rows have goes to many tasks
+    found = some.join(hard, (F.col("_v.value") == F.col("_value")) & (some["_deal"] == hard["_deal"]), "left")
+    guess = F.when(F.col("_value").isNotNull(), F.struct(F.col("_v.start").alias("start"), F.col("_v.end").alias("end"), F.lit("guess").alias("kind")))
+    found = found.groupBy("_row").agg(F.first("_id").alias("_id"), F.first("base").alias("base"), F.collect_list(guess).alias("_guess"))
+    rank = F.create_map(*(F.lit(x) for k, name in enumerate([*BASE, "guess"]) for x in (name, k)))
+    keyed = F.transform(F.concat("base", "_guess"), lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("order"), s["end"].alias("end"), s["kind"].alias("kind")))
+    spans = F.transform(F.sort_array(keyed), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    found = found.select(F.col("_id").alias(id_col), "base", spans.alias("spans"))
+    return rows.where(F.size("values") == 0).select(F.col("_id").alias(id_col), "base", F.col("base").alias("spans")).unionByName(found)
 
 
 def op9_guess_cost_secrets(spark, sf_dir: str) -> DataFrame:

@@ -465,6 +465,17 @@ def test_secrets(spark, none):
     assert secrets.scan_secrets(none).count() == 0
 
 
+def test_rare_words_are_in_the_dictionary(spark):
+    """A word beyond the 65,536 most frequent still costs its rank."""
+    many = " ".join("".join(chr(97 + k // 26**p % 26) for p in range(4)) for k in range(70_000))
+    made = [many + f" d{k}" for k in range(8)] + [f"amberzzyq {k}" for k in range(5)] + ["pwd: amberzzyq", "pwd: qkzvyamberw"]
+    table = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    ranks = {r["word"]: r["rank"] for r in secrets.word_ranks(table).collect()}
+    assert ranks["amberzzyq"] == len(ranks) > 65_536 and sorted(ranks.values()) == list(range(1, len(ranks) + 1))
+    guessed = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secrets.scan_secrets(table).collect()}
+    assert guessed[13] == [] and guessed[14] == ["guess"]
+
+
 def test_guess_cost():
     ranks = {"password": 1, "correct": 900, "horse": 700, "battery": 1500}
     cost = lambda v: secrets.guess_cost(v, ranks)
