@@ -5,7 +5,8 @@ how many guesses it would take: dynamic programming finds the cheapest way to sp
 words, dates, repeats, keyboard walks and brute-force characters, where each piece costs the logarithm of
 its guesses.  A value that costs at least GUESSES is a span of kind ``guess``; one made of words or walks
 is not.  The dictionary is the corpus itself: a word costs the logarithm of its rank by frequency over
-all documents.  It is a table, as long as the corpus makes it: only the parts of the values are joined to it.
+all distinct texts, where the values of credential contexts count for nothing.  It is a table, as long as
+the corpus makes it: only the parts of the values are joined to it.
 
 Edge cases: null or empty texts have no span; ties in the dictionary's order are broken by the word; a
 repeated row is scanned like any other; an empty table gives an empty result; columns beside id and text
@@ -40,7 +41,7 @@ CONTEXT = re.compile(
 )
 #: Base-10 logarithm of the guesses from which a value counts; shortest and longest word and value part looked at by it.
 GUESSES, SHORTEST_WORD, LONGEST_WORD = 10.0, 3, 24
-#: How often a word must occur, so that a secret is no word of the dictionary.
+#: How often a word must occur in distinct texts, so that a secret is no word of the dictionary.
 LEAST_COUNT = 5
 #: Fixed rows of keys that walks follow.
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
@@ -49,6 +50,7 @@ _NEAR = {a: {b for dr in (-1, 0, 1) for dc in (-1, 0, 1) if (dr or dc) and 0 <=
 _DATE = re.compile(r"(?:(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d)")
 #: Parts into which the rows of one value are dealt.
 DEALT = 16
+_LEADS = re.compile(r"[:=]|\bis\b")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LOG = [0.0, *(math.log10(k) for k in range(1, 200))]
 _DATE_COST, _YEAR_COST, _WALK_START = math.log10(365 * 120), math.log10(120), math.log10(47)
@@ -138,11 +140,20 @@ def words_in(value: str) -> set[str]:
     return found
 
 
+def _without_values(text: str) -> str:
+    """The text with blanks for what stands as a value in a credential context, or after an assignment."""
+    if _LEADS.search(text):
+        cuts = sorted([m.span(1) for p in (CONTEXT, BASE["assign"]) for m in p.finditer(text)], reverse=True)
+        for a, b in cuts:
+            text = text[:a] + " " * (b - a) + text[b:]
+    return text
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: Counter[str] = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            total.update((text or "").lower().split())
+            total.update(_without_values(text).lower().split())
         if len(total) > 400_000:  # passed on in parts, summed by Spark
             yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["word", "n"])
             total.clear()
@@ -150,8 +161,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_ranks(docs: DataFrame, text: str = "text") -> DataFrame:
-    """word, rank: all words of SHORTEST_WORD to LONGEST_WORD letters, and no other characters, by frequency over all documents."""
-    words = docs.select(text_of(text)).mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    """word, rank: all words of SHORTEST_WORD to LONGEST_WORD letters, and no other characters, by frequency over all distinct texts."""
+    words = docs.select(text_of(text).alias("text")).distinct().mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     plain = F.regexp_replace("word", r"^\P{L}+|\P{L}+$", "")
     words = words.groupBy(plain.alias("word")).agg(F.sum("n").alias("n")).where(f"length(word) between {SHORTEST_WORD} and {LONGEST_WORD} and n >= {LEAST_COUNT}")
     words = words.where(F.col("word").rlike(r"^\p{L}+$")).orderBy(F.desc("n"), "word").select("word", F.monotonically_increasing_id().alias("_at"))

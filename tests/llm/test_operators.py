@@ -476,6 +476,15 @@ def test_rare_words_are_in_the_dictionary(spark):
     assert guessed[13] == [] and guessed[14] == ["guess"]
 
 
+def test_copied_secrets_are_no_words(spark):
+    """Neither copies of a text nor near copies make a secret a word of the dictionary."""
+    leaks = ["pwd: xkqzvwplmrt"] * 8 + [f"note {k}\npassphrase is 'vqkzjxwplmrt' today" for k in range(8)] + ["zqkwvjxmplrt "] * 9 + ["pwd: zqkwvjxmplrt"]
+    table = spark.createDataFrame(list(enumerate(leaks + [f"common {k}" for k in range(6)])), "doc_id long, text string")
+    assert {r["word"] for r in secrets.word_ranks(table).collect()} == {"common", "note", "today", "passphrase"}
+    guessed = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secrets.scan_secrets(table).collect()}
+    assert all(guessed[k] == ["guess"] for k in [*range(16), 25])
+
+
 def test_guess_cost():
     ranks = {"password": 1, "correct": 900, "horse": 700, "battery": 1500}
     cost = lambda v: secrets.guess_cost(v, ranks)
