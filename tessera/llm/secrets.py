@@ -50,6 +50,7 @@ _NEAR = {a: {b for dr in (-1, 0, 1) for dc in (-1, 0, 1) if (dr or dc) and 0 <=
 _DATE = re.compile(r"(?:(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d)")
 #: Parts into which the rows of one value are dealt.
 DEALT = 16
+#: One of these is in every match of CONTEXT and of assign.
 _LEADS = re.compile(r"[:=]|\bis\b")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LOG = [0.0, *(math.log10(k) for k in range(1, 200))]
@@ -60,43 +61,60 @@ def _char_cost(c: str) -> float:
     return 1.0 if c.isdigit() else 1.415 if c.isascii() and c.isalpha() else 1.505 if c.isascii() else 2.0
 
 
-def _runs(value: str) -> Iterator[tuple[int, int, float]]:
-    """Repeats of one to four characters and keyboard walks: start, end, cost; any of their endings is a piece as well."""
-    n = len(value)
-    for period in (1, 2, 3, 4):
-        k = 0
-        while k + period < n:
-            end = k + period
-            while end < n and value[end] == value[end - period]:
-                end += 1
-            if end - k >= max(3, 2 * period):
-                yield k, end, sum(map(_char_cost, value[k : k + period])) + math.log10((end - k) / period + 1)
-            k = max(k + 1, end - period + 1 if end - k > period else k + 1)
-    lower, k = value.lower(), 0
-    while k < n:
-        end, turns, last = k + 1, 0, None
-        while end < n and lower[end] in _NEAR.get(lower[end - 1], ()):
-            (r0, c0), (r1, c1) = _PLACE[lower[end - 1]], _PLACE[lower[end]]
-            step = (r1 - r0, c1 - c0)
-            turns += last is not None and step != last
-            last, end = step, end + 1
-        if end - k >= 4:
-            yield k, end, _WALK_START + math.log10(end - k) + 0.6 * turns
-        k = max(k + 1, end - 1 if end - k > 1 else end)
+class _Pieces:
+    """The cheapest piece that ends at a place and starts at one of many: what led to its start, and the logarithm of its length and ``more``.
+
+    A start that an earlier one once matches never wins again, nor does one that a later start of no greater cost follows.
+    """
+
+    def __init__(self, more: int) -> None:
+        self.more, self.starts = more, []
+
+    def add(self, start: int, cost: float) -> None:
+        while self.starts and self.starts[-1][1] >= cost:
+            self.starts.pop()
+        self.starts.append((start, cost))
+
+    def least(self, end: int) -> float:
+        out, kept = math.inf, []
+        for start, cost in self.starts:
+            if (now := cost + math.log10(end - start + self.more)) < out:
+                out = now
+                kept.append((start, cost))
+        self.starts = kept
+        return out
 
 
 def guess_cost(value: str, ranks: dict[str, int]) -> float:
     """Base-10 logarithm of the guesses for the cheapest split of the value."""
     n = len(value)
     ends: dict[int, list[tuple[int, float]]] = {}
-    for a, b, cost in _runs(value):
-        ends.setdefault(b, []).append((a, cost))
     for m in _DATE.finditer(value):
         ends.setdefault(m.end(), []).append((m.start(), _YEAR_COST if m.end() - m.start() == 4 else _DATE_COST))
     lower = value.lower()
     best = [0.0] * (n + 1)
+    repeats = {period: _Pieces(period) for period in (1, 2, 3, 4)}  # any part of a repeat or walk is a piece
+    repeated, walk, first, turns = dict.fromkeys(repeats, 0), _Pieces(0), 0, [0] * (n + 1)
     for end in range(1, n + 1):
-        least = best[end - 1] + _char_cost(value[end - 1])
+        last = end - 1
+        least = best[last] + _char_cost(value[last])
+        for period, pieces in repeats.items():
+            if last >= period and value[last] != value[last - period]:
+                repeated[period] = end - period
+                pieces.starts.clear()
+            if (start := end - max(3, 2 * period)) >= repeated[period]:
+                pieces.add(start, best[start])
+                least = min(least, pieces.least(end) - math.log10(period) + sum(map(_char_cost, value[last - period + 1 : end])) + 0.3)
+        turns[last] = turns[last - 1]
+        if last and lower[last] not in _NEAR.get(lower[last - 1], ()):
+            first = last
+            walk.starts.clear()
+        elif last - first >= 2:
+            (r0, c0), (r1, c1), (r2, c2) = (_PLACE[lower[k]] for k in (last - 2, last - 1, last))
+            turns[last] += (r2 - r1, c2 - c1) != (r1 - r0, c1 - c0)
+        if (start := end - 4) >= first:
+            walk.add(start, best[start] - 0.6 * turns[start + 1])
+            least = min(least, walk.least(end) + _WALK_START + 0.6 * turns[last] + 0.3)
         for start in range(max(0, end - LONGEST_WORD), end - SHORTEST_WORD + 1):
             if best[start] < least and (rank := ranks.get(lower[start:end])):
                 part = value[start:end]
@@ -121,7 +139,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Values in credential contexts that meet no base span and are hard to guess without a dictionary: start, end, value."""
-    if ":" not in text and "=" not in text and " is " not in text:
+    if not _LEADS.search(text):
         return []
     out = []
     for m in CONTEXT.finditer(text):

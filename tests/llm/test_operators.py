@@ -493,6 +493,39 @@ def test_guess_cost():
     assert cost("") == 0 and cost("z" * 20_000) < 8
 
 
+def test_parts_of_runs_are_pieces():
+    cost = lambda v: secrets.guess_cost(v, {"password": 1, "abc": 7})
+    assert cost("qwertyuiopassword") < 5 and cost("qwertyuiopassword") == pytest.approx(cost("qwertyuio") + cost("password"))
+
+    def plain(v):
+        """Every part tried as a piece."""
+        best = [0.0]
+        for b in range(1, len(v) + 1):
+            found = [best[b - 1] + secrets._char_cost(v[b - 1])]
+            for a in range(b):
+                w = v[a:b]
+                if w in ("password", "abc"):
+                    found.append(best[a] + np.log10({"password": 2, "abc": 8}[w]) + 0.3)
+                for p in (1, 2, 3, 4):
+                    if len(w) >= max(3, 2 * p) and all(w[k] == w[k - p] for k in range(p, len(w))):
+                        found.append(best[a] + sum(map(secrets._char_cost, w[:p])) + np.log10(len(w) / p + 1) + 0.3)
+                if len(w) >= 4 and all(y in secrets._NEAR.get(x, ()) for x, y in zip(w, w[1:])):
+                    steps = [(secrets._PLACE[y][0] - secrets._PLACE[x][0], secrets._PLACE[y][1] - secrets._PLACE[x][1]) for x, y in zip(w, w[1:])]
+                    found.append(best[a] + np.log10(47) + np.log10(len(w)) + 0.6 * sum(x != y for x, y in zip(steps, steps[1:])) + 0.3)
+            best.append(min(found))
+        return best[-1]
+
+    r = np.random.default_rng(12)
+    for _ in range(400):
+        v = "".join(r.choice(["a", "b", "abc", "password", "qwe", "ert", "yuio", "asdf", "fds", "12", "aa", "xyxy", "_"]) for _ in range(int(r.integers(1, 9))))
+        assert cost(v) == pytest.approx(plain(v))
+
+
+def test_contexts_with_any_sign(spark):
+    made = ["password\tis\tQx7!kz0-Vw3#", 'password is"Qx7!kz0-Vw3#"', "password is Qx7!kz0-Vw3#"]
+    assert [[m[2] for m in secrets.candidates(t, [])] for t in made] == [["Qx7!kz0-Vw3#"]] * 3
+
+
 # ---- toxicity
 
 
