@@ -398,6 +398,40 @@ def test_character_models_tell_hosts_apart(spark):
     assert np.mean([got[k] == "allow" for k, _ in clean]) > 0.98 and np.mean([got[k] == "block" for k, _ in spam]) > 0.98
 
 
+def test_scores_are_exact(spark):
+    """Each score against counts in dictionaries, with more contexts than 2^16."""
+    r = np.random.default_rng(13)
+    hosts = ["".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), 40)) for _ in range(3000)]
+    urls = [f"http://{h}{'.casino' if k % 3 == 0 else '.org'}" for k, h in enumerate(hosts)]
+    counts = [collections.Counter(), collections.Counter()]
+
+    def contexts(s):
+        data = b"\0" * 5 + s
+        return [[data[at - k : at + 1] for k in range(6)] for at in range(5, len(data))]
+
+    for u in urls:
+        if zlib.crc32(u.encode()) % 5:
+            own = counts[u.endswith(".org")]
+            for orders in contexts(u[7:].encode()):
+                for c in orders:
+                    own[c] += 1
+                    own[c[:-1], "before"] += 1
+    assert sum(len(c) == 6 for c in counts[1]) > 1 << 16
+
+    def plain(s):
+        total = 0
+        for orders in contexts(s):
+            p = [1 / 256, 1 / 256]
+            for k, c in enumerate(orders):
+                w = url_filter.LOWER * 2**k if k else 1.0
+                p = [(n[c] + w * q) / (n[c[:-1], "before"] + w) for n, q in zip(counts, p, strict=True)]
+            total += np.log(p[1]) - np.log(p[0])
+        return total / len(s)
+
+    got = {x["page_id"]: x["score"] for x in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert all(got[k] == pytest.approx(plain(urls[k][7:].encode())) for k in range(0, 3000, 30))
+
+
 # ---- HTML
 
 
