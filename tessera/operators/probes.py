@@ -37,8 +37,8 @@ def register(known: DataFrame, probes: DataFrame) -> DataFrame:
 
 
 def due(probes: DataFrame, articles: DataFrame, runs: DataFrame) -> DataFrame:
-    """Every (probe, article) without a run of that version over that content.  probes: a few rows."""
-    work = articles.crossJoin(F.broadcast(probes.select("probe_id", "version").limit(1000)))
+    """Every (probe, article) without a run of that version over that content."""
+    work = articles.crossJoin(probes.select("probe_id", "version"))
     done = runs.select("probe_id", "article_id", F.col("probe_version").alias("version"), F.coalesce("content_hash", F.lit("")).alias("_hash")).distinct()
     return work.withColumn("_hash", F.coalesce("content_hash", F.lit(""))).join(done, ["probe_id", "article_id", "version", "_hash"], "left_anti").drop("_hash")
 

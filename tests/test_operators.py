@@ -141,6 +141,11 @@ def test_probe_cache(spark):
     assert sorted((r["probe_id"], r["article_id"]) for r in due.collect()) == [(1, 8), (2, 7)]
 
 
+def test_all_probes_are_due(spark):
+    articles, runs = spark.createDataFrame([(7, "h")], "article_id long, content_hash string"), spark.createDataFrame([(3, 7, 1, "h")], "probe_id long, article_id long, probe_version int, content_hash string")
+    assert probes.due(spark.range(1500).selectExpr("id as probe_id", "1 as version"), articles, runs).count() == 1499
+
+
 def test_issue_states(spark):
     got = probes.issue_state(spark.createDataFrame([(1, "a"), (2, "b")], "id long, filename string"), spark.createDataFrame([(9, 1)], "id long, issue_id long"), spark.createDataFrame([("a",), ("b",), ("c",)], "filename string"))
     assert {r["filename"]: r["state"] for r in got.collect()} == {"a": "skip", "b": "resume", "c": "fresh"}
