@@ -4,11 +4,12 @@ Words are hashed to WIDTH dimensions and weighted by inverse document frequency
 Benchmark items are cut to passages; a randomised SVD of their TF-IDF matrix gives the latent space: each
 partition of the benchmark adds its share of A'(A Q), the shares are summed by slices, and the driver
 orthonormalises a matrix whose size depends on WIDTH and the rank, not on the rows.  Every passage of
-every document is then projected, and its cosine with every item taken in that space, in blocks of items.
+every document is then projected, and its cosine taken in that space with every passage of every item, and
+with every item as a whole, in blocks.
 A passage near an item is checked: the longest common subsequence of words, against the stretch of the
 document around the passage, must cover nearly all of the item, or enough of it and of its answer, its
 last sentence.  Words in more than STOP_PART of all documents weigh nothing, but for the KEPT_WORDS rarest
-of each item, so that no item is without weight.
+of each item's passage, so that no part of an item is without weight.
 
 A document is contaminated by an item that passes.  Words are runs of characters other than ASCII white
 space, A-Z lower-cased, so that rewrapped lines and case do not matter, nor do inserted, dropped or
@@ -33,11 +34,11 @@ from .shingles import batches, words_of
 
 #: Dimensions of hashed words; words of a passage and its step; rank of the latent space, and columns beyond it.
 WIDTH, PASSAGE, STEP, RANK, EXTRA = 1 << 18, 32, 16, 256, 16
-#: Words in a larger part of all documents weigh nothing; so many of an item's rarest do anyway; a passage needs so many words with weight.
+#: Words in a larger part of all documents weigh nothing; so many of an item passage's rarest do anyway; a passage needs so many words with weight.
 STOP_PART, KEPT_WORDS, LEAST_HITS = 0.005, 10, 3
 #: Least cosine of a candidate; least part of an item that the common subsequence covers, alone or with so much of the answer.
 COSINE, ALONE, COVER, ANSWER = 0.5, 0.85, 0.7, 0.5
-#: Items compared at once; slices in which sums are made.
+#: Items' passages compared at once; slices in which sums are made.
 ITEM_BLOCK, SLICES = 2048, 64
 
 
@@ -127,10 +128,12 @@ def _sparse(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def kept_words(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
-    """The dimensions of each text's rarest words."""
+    """The dimensions of the rarest words of each text's passages."""
     w = Words(texts)
-    owner = np.repeat(np.arange(len(texts)), np.diff(w.cuts))
-    keys = np.unique(owner * WIDTH + w.dims)
+    first, end, _ = w.passages()
+    owner = np.repeat(np.arange(len(first)), end - first)
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(end - first) - (end - first), end - first) + np.repeat(first, end - first)
+    keys = np.unique(owner * WIDTH + w.dims[at])
     order = np.lexsort((-idf[keys % WIDTH], keys // WIDTH))
     keys = keys[order]
     rank = np.arange(len(keys)) - np.searchsorted(keys // WIDTH, keys // WIDTH)
@@ -237,10 +240,11 @@ def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.nda
         return live, rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
     whole = Words([t for _, t in items])
-    live_items, rows = project(whole, whole.cuts[:-1], whole.cuts[1:])
-    targets = np.zeros((len(items), basis.shape[1]), np.float32)
-    targets[live_items] = rows
-    targets = np.ascontiguousarray(targets.T)
+    first_of, end_of, item_of = whole.passages()
+    long = np.flatnonzero(np.diff(whole.cuts) > PASSAGE)  # other items are one passage
+    first_of, end_of, item_of = np.concatenate((first_of, whole.cuts[long])), np.concatenate((end_of, whole.cuts[long + 1])), np.concatenate((item_of, long))
+    live_items, rows = project(whole, first_of, end_of)
+    item_of, targets = item_of[live_items], np.ascontiguousarray(rows.T)
 
     def run(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_in:
@@ -253,25 +257,25 @@ def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.nda
                     continue
                 live, rows = project(w, first, end)
                 first, end, text = first[live], end[live], text[live]
+                best: dict[tuple[int, int], list] = {}
                 for block in range(0, targets.shape[1], ITEM_BLOCK):
                     near = rows @ targets[:, block : block + ITEM_BLOCK]
-                    best: dict[tuple[int, int], list] = {}
                     for p, i in np.argwhere(near >= cosine):
-                        best.setdefault((int(text[p]), block + int(i)), []).append((-float(near[p, i]), int(first[p]), int(end[p])))
-                    for (t, i), places in best.items():
-                        item, found = known[i], None
-                        for score, a, b in sorted(places):
-                            if found and a < found[4] and b > found[3]:
-                                continue  # inside the stretch that was checked
-                            reach = len(item.words) + len(item.words) // 4  # any place of the item that meets the passage
-                            lo, hi = max(int(w.cuts[t]), a - reach), min(int(w.cuts[t + 1]), b + reach)
-                            cover, answer = item.check(w.prints[lo:hi].tolist())
-                            if not found or cover > found[1]:
-                                found = (-score, cover, answer, lo, hi)
-                            if item.passes(cover, answer):
-                                break
-                        if item.passes(*found[1:3]):
-                            out.append((base + t, item.id, *found[:3]))
+                        best.setdefault((int(text[p]), int(item_of[block + i])), []).append((-float(near[p, i]), int(first[p]), int(end[p])))
+                for (t, i), places in best.items():
+                    item, found = known[i], None
+                    for score, a, b in sorted(places):
+                        if found and a < found[4] and b > found[3]:
+                            continue  # inside the stretch that was checked
+                        reach = len(item.words) + len(item.words) // 4  # any place of the item that meets the passage
+                        lo, hi = max(int(w.cuts[t]), a - reach), min(int(w.cuts[t + 1]), b + reach)
+                        cover, answer = item.check(w.prints[lo:hi].tolist())
+                        if not found or cover > found[1]:
+                            found = (-score, cover, answer, lo, hi)
+                        if item.passes(cover, answer):
+                            break
+                    if item.passes(*found[1:3]):
+                        out.append((base + t, item.id, *found[:3]))
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array([o[0] for o in out], pa.int64())), pa.array([o[1] for o in out], pa.int64()), *(pa.array([o[k] for o in out], pa.float64()) for k in (2, 3, 4))],
                 ["doc_id", "item_id", "cosine", "cover", "answer_cover"],
@@ -287,14 +291,15 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", id_col:
     idf, dims, basis = latent_space(items, inverse_frequencies(found), found)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text).alias("text"))
     kind = "doc_id long, item_id long, cosine double, cover double, answer_cover double"
-    out, block = None, []
+    out, block, held = None, [], 0
     # the stated queries: blocks of items against all documents
     for r in items.orderBy("item_id").toLocalIterator():
         if r["text"].strip(" \t\n\r\x0b\x0c"):
             block.append((r["item_id"], r["text"].encode()))
-        if len(block) == 8 * ITEM_BLOCK:
+            held += 2 + len(r["text"].split()) // STEP  # its passages, and the whole
+        if held >= 8 * ITEM_BLOCK:
             part = slim.mapInArrow(_search(block, idf, dims, basis, cosine), kind)
-            out, block = part if out is None else out.unionByName(part), []
+            out, block, held = part if out is None else out.unionByName(part), [], 0
     if block or out is None:
         part = slim.mapInArrow(_search(block, idf, dims, basis, cosine), kind) if block else slim.sparkSession.createDataFrame([], kind)
         out = part if out is None else out.unionByName(part)

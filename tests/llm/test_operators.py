@@ -337,6 +337,19 @@ def test_decontamination(spark, docs, none):
     assert decontamination.drop_contaminated(docs, items_df).count() == len(rows())
 
 
+def test_copies_of_long_items_are_found(spark):
+    """Items of hundreds of words, whose words are all rare, or all frequent but for the kept ones."""
+    r = np.random.default_rng(14)
+    items = [(k, " ".join(f"{'rare' if k < 4 else 'word'}{r.integers(5000 if k < 4 else 400)}" for _ in range((150, 200, 300, 500)[k % 4]))) for k in range(8)]
+    made = [(k, " ".join(f"word{w}" for w in r.integers(400, size=300))) for k in range(60)]
+    for k, t in items:
+        w = made[k][1].split()
+        w[100 + k : 100 + k] = t.split()
+        made[k] = (k, " ".join(w))
+    got = {(x["doc_id"], x["item_id"]) for x in decontamination.contaminated(spark.createDataFrame(made, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(k, k) for k in range(8)}
+
+
 def test_common_subsequence():
     def plain(a, b):
         row = [0] * (len(b) + 1)
