@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tessera.functions.text import strip_all_parens, strip_last_paren
 from tessera.operators.graph import merged_roots, repoint
 from tessera.operators.similarity import similar_names
-from tessera.operators.upsert import delete_keys
+from tessera.operators.upsert import delete_keys, first_by_key
+from tessera.storage import written
 
 
 def similar_roots(entities: DataFrame, low: float, high: float = 1.0, same: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -42,15 +43,49 @@ def redundant_roles(roles: DataFrame) -> DataFrame:
     return rows.where("_n > 1 and _k > 1").select("id", F.when(F.col("_any"), "delete").otherwise("skip").alias("action"))
 
 
-def merge_children(rows: DataFrame, mapping: DataFrame, column: str, keys: list[str], order: list[Column], nulls_distinct: bool = False) -> DataFrame:
+def merge_children(rows: DataFrame, mapping: DataFrame, column: str, keys: list[str], order: list[str], nulls_distinct: bool = False) -> DataFrame:
     """Child rows led to the roots, without those that collide there: a root's own row stays, else the first by ``order``."""
-    moved = repoint(rows, mapping, column)
-    w = Window.partitionBy(*keys).orderBy("_moved", *order)
-    one = F.row_number().over(w) == 1
-    if nulls_distinct:
-        for k in keys:
-            one = one | F.col(k).isNull()
-    return moved.withColumn("_one", one).where("_one").drop("_one")
+    return first_by_key(repoint(rows, mapping, column), keys, ["_moved", *order], nulls_distinct).drop("_moved")
+
+
+def merge_firms(tables: dict[str, DataFrame], mapping: DataFrame) -> dict[str, DataFrame]:
+    """The tables after firms (id) merged into roots (mapping: id, root).
+
+    Roles and people are led to the roots; of those that then are one, the root's stays.  What named a
+    person that went (quotes, person_mentions) names the one that stayed.  Names become aliases.
+    """
+    out = dict(tables)
+    out["firms"] = merge_entities(tables["firms"], mapping, aliases=True)
+    if "roles" in tables:
+        out["roles"] = merge_children(tables["roles"], mapping, "firm_id", ["project_id", "firm_id", "role", "team"], ["id"], nulls_distinct=True)
+    if "firm_mentions" in tables:
+        out["firm_mentions"] = repoint(tables["firm_mentions"], mapping, "canonical_id").drop("_moved")
+    if "people" in tables:
+        led = repoint(tables["people"], mapping, "firm_id")
+        stay = led.groupBy("name", "firm_id").agg(F.min(F.struct("_moved", "id")).alias("_stay"))
+        pairs = led.join(stay, led["name"].eqNullSafe(stay["name"]) & led["firm_id"].eqNullSafe(stay["firm_id"])).where("_moved and id <> _stay.id").select("id", F.col("_stay.id").alias("root"))
+        pairs = written(pairs)
+        out["people"] = led.drop("_moved").join(pairs.select("id"), "id", "left_anti").select(*tables["people"].columns)
+        for name, column in (("quotes", "speaker_person_id"), ("person_mentions", "canonical_id")):
+            if name in tables:
+                out[name] = repoint(tables[name], pairs, column).drop("_moved")
+    return out
+
+
+def split_firm(tables: dict[str, DataFrame], firm: int, name: str, raw_names: list[str]) -> dict[str, DataFrame]:
+    """The inverse of a merge: a new firm ``name`` takes those aliases, roles and mentions whose raw form is that name or in raw_names."""
+    firms, taken = tables["firms"], sorted({name, *raw_names})
+    new_id = firms.agg(F.max("id")).first()[0] + 1
+    names = F.array(*map(F.lit, taken))
+    rest = firms.withColumn("aliases", F.when(F.col("id") == firm, F.array_except("aliases", names)).otherwise(F.col("aliases")))
+    own = {"id": F.lit(new_id), "name": F.lit(name), "aliases": F.array_remove(F.array_intersect("aliases", names), name)}
+    made = firms.where(F.col("id") == firm).select(*(own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in firms.schema))
+    out = dict(tables) | {"firms": rest.unionByName(made)}
+    for table, column, raw in (("roles", "firm_id", "raw_name"), ("firm_mentions", "canonical_id", "raw_text")):
+        if table in tables:
+            moves = (F.col(column) == firm) & F.col(raw).isin(taken)
+            out[table] = tables[table].withColumn(column, F.when(moves, F.lit(new_id)).otherwise(F.col(column)))
+    return out
 
 
 def merge_entities(entities: DataFrame, mapping: DataFrame, inherit: list[str] = (), aliases: bool = False) -> DataFrame:
@@ -84,8 +119,8 @@ def merge_two(tables: dict[str, DataFrame], entity: str, winner: int, loser: int
     mapping = tables[entity].sparkSession.createDataFrame([(loser, winner)], "id long, root long")
     out = dict(tables) | {entity: merge_entities(tables[entity], mapping, **how)}
     for name, (column, keys) in children.items():
-        order = [F.col(c) for c in tables[name].columns]
-        out[name] = merge_children(tables[name], mapping, column, keys, order).drop("_moved")
+        order = ["id"] if "id" in tables[name].columns else [c for c in tables[name].columns if c not in keys] or [column]
+        out[name] = merge_children(tables[name], mapping, column, keys, order)
     return out
 
 

@@ -2,43 +2,43 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Ends the lineage in the shared checkpoint folder; a local session without one gets a temporary folder."""
-    spark: SparkSession = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        spark.sparkContext.setCheckpointDir(folder)
-    elif spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-    return df.checkpoint()
+from tessera.storage import discard, written
 
 
-def merged_roots(pairs: DataFrame) -> DataFrame:
-    """pairs: a, b.  Returns id, root for every id in a pair; the root is the least id that pairs lead to.
+def components(edges: DataFrame) -> DataFrame:
+    """edges: a, b (longs).  Returns node, root: the smallest node that links lead to; for nodes with an edge to another.
 
-    Labels take the least of the neighbours' labels, then jump to their label's label, until nothing changes.
+    Alternating large and small stars: every node passes the least of its neighbours to the larger
+    ones, then to the smaller ones, until each component is a star.  Every round is two joins of the
+    edge table with one row a node, which AQE splits where a centre has many edges; no neighbour list is
+    ever held by a task, and the table of the round before is removed.
     """
-    edges = _checkpointed(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a is not null and b is not null").distinct())
-    labels = edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("a"), F.min("b")).alias("root"))
-    total = None
+    edges = written(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u < v").distinct())
+    before = None
     while True:
-        near = edges.join(labels, edges.b == labels.id).groupBy("a").agg(F.min("root").alias("near"))
-        moved = labels.join(near, labels.id == near.a).select("id", F.least("root", "near").alias("root"))
-        jump = moved.select(F.col("id").alias("at"), F.col("root").alias("next"))
-        labels = _checkpointed(moved.join(jump, moved.root == jump["at"]).select("id", F.least("root", "next").alias("root")))
-        now = labels.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
-        if now == total:
-            return labels
-        total = now
+        both = edges.select(F.col("v").alias("x"), F.col("u").alias("y")).unionByName(edges.select(F.col("u").alias("x"), F.col("v").alias("y")))
+        least = both.groupBy("x").agg(F.min("y").alias("m")).withColumn("m", F.least("x", "m"))
+        large = both.join(least, "x").where("y > x").select(F.col("y").alias("v"), F.col("m").alias("u")).distinct()
+        least = large.groupBy("v").agg(F.min("u").alias("m"))
+        small = large.join(least, "v")
+        small = small.select(F.col("u").alias("v"), F.col("m").alias("u")).where("u < v").unionByName(least.select("v", F.col("m").alias("u"))).distinct()
+        last, edges = edges, written(small)
+        discard(last)
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.col("u").cast("decimal(38,0)"))).first()
+        if now == before:
+            return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
+        before = now
+
+
+def merged_roots(pairs: DataFrame) -> DataFrame:
+    """pairs: a, b.  Returns id, root for every id in a pair without nulls; the root is the least id that pairs lead to."""
+    known = pairs.where("a is not null and b is not null").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    alone = known.where("a = b").select(F.col("a").alias("id")).distinct()
+    found = components(known).withColumnRenamed("node", "id")
+    return found.unionByName(alone.join(found, "id", "left_anti").withColumn("root", F.col("id")))
 
 
 def repoint(rows: DataFrame, mapping: DataFrame, column: str) -> DataFrame:
@@ -53,3 +53,11 @@ def teaming(roles: DataFrame, project: str, firm: str) -> DataFrame:
     one = roles.select(F.col(project).alias("p"), F.col(firm).alias("a")).distinct()
     two = one.select("p", F.col("a").alias("b"))
     return one.join(two, "p").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n_projects"))
+
+
+def migrations(work: DataFrame, firm: str, kind: str, at: str, tie: str) -> DataFrame:
+    """Firms whose last project is of another kind than their first: firm, first_kind, last_kind.  Rows without a kind or time do not count."""
+    rows = work.where(F.col(kind).isNotNull() & F.col(at).isNotNull())
+    order = F.struct(at, tie)
+    ends = rows.groupBy(firm).agg(F.min_by(kind, order).alias("first_kind"), F.max_by(kind, order).alias("last_kind"))
+    return ends.where("first_kind <> last_kind")

@@ -1,4 +1,4 @@
-"""Entity resolution: a cascade of ever looser matches, and project scoring."""
+"""Entity resolution: a cascade of ever looser matches, and how two projects score."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.similarity import similar_names, top_similar
+from tessera.operators.similarity import top_similar
 
 #: Least similarity of an automatic match and of a candidate; candidates a mention.
 AUTO, FLOOR, TOP = 0.92, 0.55, 5
@@ -33,14 +33,7 @@ def _cascade(mentions: DataFrame, entities: DataFrame, normalize: Callable[[str]
         out = out.join(hits.withColumnRenamed("hit", f"_{stage}"), "id", "left")
     known = F.coalesce("_exact", "_normalized", "_alias")
     rest = out.where(known.isNull() & (F.col("_norm") != "" if empty_blocks else F.lit(True)))  # later stages see only what is left
-    if scope:
-        pairs = similar_names(rest.select("id", "name"), entities.select("id", "name"), FLOOR).alias("p")
-        pairs = pairs.join(rest.select(F.col("id").alias("left_id"), *(F.col(s).alias(f"_m_{s}") for s in scope)), "left_id").join(entities.select(F.col("id").alias("right_id"), *(F.col(s).alias(f"_e_{s}") for s in scope)), "right_id")
-        for s in scope:
-            pairs = pairs.where(F.col(f"_m_{s}").eqNullSafe(F.col(f"_e_{s}")))
-        near = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("sim"), "right_id"))).where(F.col("rank") <= TOP)
-    else:
-        near = top_similar(rest.select("id", "name"), entities.select("id", "name"), TOP, FLOOR)
+    near = top_similar(rest.select("id", "name", *scope), entities.select("id", "name", *scope), TOP, FLOOR, scope)
     near = near.groupBy("left_id").agg(F.min_by("right_id", "rank").alias("_near"), F.max("sim").alias("_sim"), F.sort_array(F.collect_list(F.struct("rank", "right_id"))).alias("_c"))
     out = out.join(near.withColumnRenamed("left_id", "id"), "id", "left")
     auto = F.col("_sim") >= AUTO
@@ -105,27 +98,3 @@ def decide_projects(scored: DataFrame, key: str, candidate: str) -> DataFrame:
     ranked = scored.withColumn("rank", F.row_number().over(w)).withColumn("second", F.lead("score").over(w)).where("rank = 1")
     auto = (F.col("score") >= AUTO) & (F.col("sim") >= AUTO) & (F.col("second").isNull() | (F.col("second") < F.col("score") - LEAD))
     return ranked.withColumn("decision", F.when(auto, "auto").when(F.col("score") >= FLOOR, "tiebreak").otherwise("create")).drop("rank")
-
-
-def leaders(names: DataFrame, floor: float = AUTO, rounds: int = 50) -> DataFrame:
-    """Greedy clusters in order of arrival: names: id (in order), name.  Returns id, leader.
-
-    A name joins the most similar earlier leader, else leads.  A name is settled once all of its earlier
-    neighbours are, so rounds follow the longest chain of neighbours; what is left after them leads.
-    """
-    from tessera.operators.graph import _checkpointed
-
-    edges = _checkpointed(similar_names(names, names, floor, same=True).select(F.col("left_id").alias("early"), F.col("right_id").alias("late"), "sim"))
-    settled = _checkpointed(names.join(edges.select(F.col("late").alias("id")).distinct(), "id", "left_anti").select("id", F.col("id").alias("leader")))
-    for _ in range(rounds):
-        left = names.select("id").join(settled, "id", "left_anti")
-        open_ = edges.join(left.select(F.col("id").alias("late")), "late")
-        blocked = open_.join(left.select(F.col("id").alias("early")), "early").select(F.col("late").alias("id")).distinct()
-        ready = left.join(blocked, "id", "left_anti")
-        lead = settled.where("id = leader").select(F.col("id").alias("early"))
-        best = open_.join(lead, "early").groupBy(F.col("late").alias("id")).agg(F.min_by("early", F.struct(-F.col("sim"), "early")).alias("found"))
-        step = ready.join(best, "id", "left").select("id", F.coalesce("found", "id").alias("leader"))
-        if step.isEmpty():
-            break
-        settled = _checkpointed(settled.unionByName(step))
-    return settled.unionByName(names.select("id").join(settled, "id", "left_anti").select("id", F.col("id").alias("leader")))

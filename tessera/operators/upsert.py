@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.storage import written
+
+
+def some_null(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
 
-def first_by_key(rows: DataFrame, keys: list[str], order: list, nulls_distinct: bool = False) -> DataFrame:
-    """One row a key, the first by ``order``.  nulls_distinct: rows with a null key are never the same, as in a unique index."""
-    ranked = rows.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    one = F.col("_k") == 1
-    if nulls_distinct:
-        for k in keys:
-            one = one | F.col(k).isNull()
-    return ranked.where(one).drop("_k")
+
+def first_by_key(rows: DataFrame, keys: list[str], order: list[str], nulls_distinct: bool = False) -> DataFrame:
+    """One row a key, the first by the columns of ``order``, ascending, nulls last.
+
+    nulls_distinct: rows with a null key are never the same, as in a unique index; they are kept without
+    a shuffle.  Where the order is all that rows have beside their key, its least value is aggregated;
+    else the rows are ranked, and Spark ranks within each task before it shuffles.
+    """
+    keyed = rows.where(~some_null(keys)) if nulls_distinct else rows
+    if len(order) == 1 and set(rows.columns) == {*keys, *order}:
+        one = keyed.groupBy(*keys).agg(F.min(order[0]).alias(order[0])).select(*rows.columns)
+    else:
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*(F.asc_nulls_last(c) for c in order)))
+        one = keyed.withColumn("_k", rank).where("_k = 1").drop("_k")
+    return one.unionByName(rows.where(some_null(keys))) if nulls_distinct else one
 
 
 def _same(a: DataFrame, b: DataFrame, keys: list[str], null_safe: bool):
@@ -24,7 +38,7 @@ def _same(a: DataFrame, b: DataFrame, keys: list[str], null_safe: bool):
     return on
 
 
-def insert_if_absent(table: DataFrame, rows: DataFrame, keys: list[str], order: list, nulls_distinct: bool = True) -> DataFrame:
+def insert_if_absent(table: DataFrame, rows: DataFrame, keys: list[str], order: list[str], nulls_distinct: bool = True) -> DataFrame:
     """The table and those rows, one a key, whose key it lacks."""
     fresh = first_by_key(rows, keys, order, nulls_distinct)
     known = table.select(*keys).distinct()
@@ -67,10 +81,15 @@ def delete_keys(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 def with_ids(rows: DataFrame, order: list, start: int = 0, id_col: str = "id") -> DataFrame:
     """Consecutive ids after ``start`` in the order given.
 
-    Partitions of a range sort are counted, then numbered with an offset each, so no task sees all rows.
+    The rows are dealt by range, sorted within each task and written once with their place; the written
+    places are then counted and offset, so that counts and rows are of one and the same dealing, and no
+    task sees all rows.
     """
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    row = F.col("_at") - F.shiftleft(F.col("_part").cast("long"), 33)
-    return ranged.join(F.broadcast(before), "_part").withColumn(id_col, row + F.col("_before") + start + 1).drop("_part", "_at", "_before")
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = written(ranged)  # the upper bits are the task, the lower 33 the place in it
+    part = F.shiftright("_at", 33)
+    counts = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a task
+    offsets = counts.select("_part", before.alias("_before"))
+    out = ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return out.withColumn(id_col, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + start + 1).drop("_part", "_at", "_before")

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Vectors of a packed block; candidates that a task holds before it passes them on.
+BLOCK, HELD = 2048, 4_000_000
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -24,21 +31,65 @@ def nearest(rows: DataFrame, query: list[float], k: int, vector: str = "embeddin
     return rows.withColumn("similarity", cosine(F.col(vector), q)).orderBy(F.desc_nulls_last("similarity"), id_col).limit(k)
 
 
+def _packed(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
+    """ids, data: blocks of up to BLOCK unit vectors as bytes; a vector of length 0, null or with a null in it becomes NaN."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(k, BLOCK)
+                some = part.column(1).to_pylist()
+                width = max((len(v) for v in some if v is not None), default=0)
+                data = np.full((len(some), width), np.nan)
+                for at, v in enumerate(some):
+                    if v is not None and len(v) == width and None not in v:
+                        data[at] = v
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    data /= np.linalg.norm(data, axis=1, keepdims=True)
+                yield pa.RecordBatch.from_arrays([pa.array([part.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False).tobytes()], pa.binary()), pa.array([width], pa.int32()), pa.array([data.tobytes()], pa.binary())], ["ids", "width", "data"])
+
+    return rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(vector).cast("array<double>")).mapInArrow(run, "ids binary, width int, data binary")
+
+
+def _best(k: int, digits: int):
+    """Pairs of packed blocks to each query's k best rows of a task: query_id, id, similarity (null where there is none)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            query, row, score = (np.concatenate([h[c] for h in held]) for c in range(3))
+            order = np.lexsort((row, -np.where(np.isnan(score), -np.inf, score), query))
+            query, row, score = query[order], row[order], score[order]
+            at = np.arange(len(query)) - np.searchsorted(query, query)
+            held.clear()
+            keep = at < k
+            return pa.RecordBatch.from_arrays([pa.array(query[keep]), pa.array(row[keep]), pa.array(score[keep], mask=np.isnan(score[keep]))], ["query_id", "id", "similarity"])
+
+        for batch in batches:
+            for ids, width, data, query_ids, query_width, query_data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                row, query = np.frombuffer(ids, np.int64), np.frombuffer(query_ids, np.int64)
+                x, q = np.frombuffer(data).reshape(len(row), width), np.frombuffer(query_data).reshape(len(query), query_width)
+                order = np.argsort(row, kind="stable")  # equal scores go to the smaller id
+                score = np.round(q @ x[order].T, digits) if width == query_width else np.full((len(query), len(row)), np.nan)
+                best = np.argsort(-np.where(np.isnan(score), -np.inf, score), axis=1, kind="stable")[:, :k]
+                held.append((np.repeat(query, best.shape[1]), row[order][best].ravel(), np.take_along_axis(score, best, 1).ravel()))
+                if sum(len(h[0]) for h in held) > HELD:
+                    yield flush()
+        if held:
+            yield flush()
+
+    return run
+
+
 def nearest_each(rows: DataFrame, queries: DataFrame, k: int, vector: str = "embedding", id_col: str = "id", digits: int = 12) -> DataFrame:
-    """The k rows nearest to each query (query_id, query).
+    """The k rows nearest to each query (query_id, query): query_id, the id, similarity (rounded) and rank.  Ties go to the smaller id.
 
-    Queries are a stated set; they are taken in blocks of 1,000, and each task keeps k rows a query before any shuffle.
+    Queries are a stated set, taken in blocks against blocks of rows: a product of two matrices each, of
+    which a task passes on k rows a query.  Without queries or rows the result is empty; vectors of length
+    0, of another width, null or with a null in them have no similarity and come last; a null id is no row.
     """
-    blocks, out = [], None
-    for q in queries.orderBy("query_id").toLocalIterator():
-        if not blocks or len(blocks[-1]) == 1000:
-            blocks.append([])
-        blocks[-1].append((q["query_id"], [float(x) for x in q["query"]]))
-    for block in blocks:
-        some = rows.sparkSession.createDataFrame(block, f"query_id {queries.schema['query_id'].dataType.simpleString()}, query array<double>")
-        some = some.withColumn("query_length", length(F.col("query")))
-        near = rows.select(F.col(id_col), F.col(vector), length(F.col(vector)).alias("length")).join(F.broadcast(some), F.lit(True))  # 1,000 queries at most
-        near = near.select("query_id", id_col, F.round(dot(F.col(vector), F.col("query")) / F.nullif(F.col("length") * F.col("query_length"), F.lit(0.0)), digits).alias("similarity"))
-        out = near if out is None else out.unionByName(near)
+    packed, asked = _packed(rows, id_col, vector), _packed(queries, "query_id", "query").toDF("query_ids", "query_width", "query_data")
+    near = packed.crossJoin(asked).mapInArrow(_best(k, digits), "query_id long, id long, similarity double").withColumnRenamed("id", id_col)
     w = Window.partitionBy("query_id").orderBy(F.desc_nulls_last("similarity"), id_col)
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return near.withColumn("similarity", F.round("similarity", digits)).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,7 +12,7 @@ def harvest(pages: DataFrame, base: str = "", suffix: str = ".pdf", host: str |
     rows = found.withColumn("url", F.when(F.col("href").startswith("/"), F.concat(F.lit(base), "href")).otherwise(F.concat(F.lit(base), "href") if base else F.col("href")))
     rows = rows.where(F.lower("url").endswith(suffix.lower())) if suffix else rows
     rows = rows.where(F.col("url").contains(host)) if host else rows
-    first = rows.withColumn("k", F.row_number().over(Window.partitionBy("url").orderBy(id_col, "pos"))).where("k = 1")
+    first = rows.groupBy("url").agg(F.min(id_col).alias(id_col))  # combined in each task, so a link of every page is one row a task
     return first.select("url", id_col, F.try_url_decode(F.element_at(F.split(F.regexp_replace("url", r"[?#].*$", ""), "/"), -1)).alias("file_name"))
 
 

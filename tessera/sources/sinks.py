@@ -17,6 +17,16 @@ def json_by_file(df: DataFrame, folder: str, file_column: str = "source_file") -
     df.write.partitionBy(file_column).mode("append").json(folder)
 
 
+def merged_json(df: DataFrame, path: str) -> None:
+    """All rows as JSON lines, in one folder whatever files they came from."""
+    df.write.mode("overwrite").json(path)
+
+
+def decision_lines(decisions: DataFrame) -> DataFrame:
+    """A log line (JSON) for each decision."""
+    return decisions.select(F.to_json(F.struct(*decisions.columns)).alias("line"))
+
+
 def workbook_tables(projects: DataFrame, team: DataFrame, folder: str) -> None:
     """Two sheets as CSV, with a header each."""
     projects.write.mode("overwrite").option("header", True).csv(f"{folder}/projects")
