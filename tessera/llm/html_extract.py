@@ -13,11 +13,16 @@ the wanted nodes marked; markup, tag names, class names and nesting vary, as doe
 A kept node's text is cut into blocks where block elements begin or end.  Character references are
 decoded, white space inside a block becomes one space, and blocks are joined by a newline in page order.
 
-Edge cases: null or empty HTML, or a page without main text, gives an empty text; text outside of any
-element belongs to the page itself and counts as kept if the page has no element; stray tags, unclosed
-blocks, comments and quotes are tolerated, a bracket that opens no tag is text, and an unclosed silent
-element (a script, say) hides what follows, as in browsers; very deep nesting is cut at DEEPEST levels, below which elements belong to their ancestor there; repeated rows are
-extracted alike; an empty table gives an empty result; columns beside id, url and html are ignored.
+Text beside block elements, at any level, is a node of its own.  An attribute's quoted value may hold
+anything and be of any length; a quote that is never closed, or that would swallow the rest of the page,
+is an ordinary character.  Reading takes time in proportion to the page, and nothing in it is cut.
+
+Edge cases: null or empty HTML, or a page without main text, gives an empty text; the text of a page
+without any block element counts as kept; stray tags, unclosed blocks and comments are tolerated, a bracket
+that opens no tag is text, and an unclosed silent element (a script, say), comment or last tag hides what
+follows, as in browsers; very long or deeply nested pages are read whole; equally good choices keep less;
+repeated rows are extracted alike; an empty table gives an empty result; columns beside id, url and html
+are ignored.
 """
 
 from __future__ import annotations
@@ -32,23 +37,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEEPEST = 200
-#: A comment, or a tag: slash, name, attributes.  Quoted values of ordinary length may hold a closing bracket.
-_TAG = re.compile(r"""<!--|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^<>"']++|"[^"<]{0,2000}+"|'[^'<]{0,2000}+'|["'])*+)>|<[!?/][^<>]*+>""")
+#: The start of a tag, comment or declaration; what follows a tag's name up to its end: quoted values stand after an equals sign.
+_MARKUP = re.compile(r"<(?:(/?)([A-Za-z][^\s/>]*+)|!--|[!?/])")
+_REST = re.compile(r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Fixed element kinds.
 _KINDS = {
     "article": ("article", "main"), "section": ("section",), "div": ("div", "center", "body", "html", "root"), "p": ("p", "pre", "blockquote", "address"), "head": ("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"),
     "nav": ("nav", "menu", "dialog", "template"), "header": ("header",), "footer": ("footer",), "aside": ("aside", "ins"), "form": ("form", "fieldset", "label", "legend", "button", "select", "option"),
-    "list": ("ul", "ol", "dl"), "item": ("li", "dt", "dd"), "table": ("table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption"), "figure": ("figure", "figcaption", "details", "summary"),
+    "list": ("ul", "ol", "dl"), "item": ("li", "dt", "dd"), "loose": ("#text",), "table": ("table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption"), "figure": ("figure", "figcaption", "details", "summary"),
 }
 _KIND = {tag: k for k, tags in enumerate(_KINDS.values()) for tag in tags}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Fixed elements whose content is no text of the page.
 _SILENT = frozenset("script style title noscript template textarea iframe svg math object canvas audio video select head".split())
 _RAW = frozenset("script style title textarea iframe noscript".split())
-_IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th")}
+#: Fixed: open elements that an element closes before it opens, and those beyond which it does not look.
+_ROWS, _CELLS = ("thead", "tbody", "tfoot"), ("td", "th", "caption")
+_IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "thead": _ROWS, "tbody": _ROWS, "tfoot": _ROWS}
+_BEYOND = {"li": ("ul", "ol", "menu", *_CELLS, "article", "section", "nav", "aside", "blockquote", "form"), "dt": ("dl", *_CELLS), "dd": ("dl", *_CELLS), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "thead": ("table",), "tbody": ("table",), "tfoot": ("table",)}
+_NO_P_BEYOND, _TABLE = (*_CELLS, "table", "button"), frozenset(("table", "tr", *_ROWS, *_CELLS))
 #: Fixed attribute tokens that name content, and clutter.
 _CONTENT = frozenset("article content main post entry story body text prose copy longform lead hentry".split())
 _CLUTTER = frozenset(
@@ -62,73 +71,105 @@ class Page:
     """A page's block elements and texts, in order."""
 
     def __init__(self, html: str) -> None:
-        self.kind, self.parent, self.depth, self.attributes, self.wanted = [_KIND["root"]], [-1], [0], [""], [True]
-        self.inner, self.tags, self.links = [0], [1], [0]
-        #: (node, raw text); a change of node or a None ends a block.
-        self.texts: list[tuple[int, str] | None] = []
-        self.linked: list[int] = [0]
+        self.kind, self.parent, self.depth, self.attributes = [_KIND["root"]], [-1], [0], ["data-keep"]
+        self.tags, self.links, self.order = [1], [0], [0]  # order: the page's place where a node begins
+        #: (node, raw text, whether it is in a link); a change of node or a None ends a block.
+        self.texts: list[tuple[int, str, bool] | None] = []
         self._read(html)
-
-    def _open(self, tag: str, attributes: str, stack: list) -> None:
-        node = len(self.kind)
-        above = stack[-1][1]
+        self._part()
+        self.inner, self.linked = [0] * len(self.kind), [0] * len(self.kind)
+        for t in self.texts:
+            if t is not None:
+                size = len(t[1].strip())
+                self.inner[t[0]] += size
+                self.linked[t[0]] += size if t[2] else 0
+
+    def _node(self, tag: str, attributes: str, above: int, place: int) -> int:
+        self.order.append(place)
         self.kind.append(_KIND[tag])
         self.parent.append(above)
         self.depth.append(self.depth[above] + 1)
         self.attributes.append(attributes)
-        self.inner.append(0)
         self.tags.append(1)
         self.links.append(0)
-        self.linked.append(0)
-        stack.append((tag, node))
+        return len(self.kind) - 1
+
+    def _part(self) -> None:
+        """Runs of text whose node has elements below become nodes."""
+        full, own, run = set(self.parent), [], []
+        for at, t in enumerate([*self.texts, None]):
+            if t is not None and (not run or run[-1][0] == t[0]):
+                run.append(t)
+                continue
+            if run and run[0][0] in full and any(x[1].strip() for x in run):
+                node = self._node("#text", "data-keep" if "data-keep" in self.attributes[run[0][0]] else "", run[0][0], at - len(run))
+                run = [(node, x[1], x[2]) for x in run]
+            own += run
+            run = []
+            if t is None:
+                own.append(None)
+            else:
+                run.append(t)
+        self.texts = own
 
     def _read(self, html: str) -> None:
         stack: list[tuple[str, int]] = [("root", 0)]
-        at, n, anchor = 0, len(html), False
+        places: dict[str, list[int]] = {}  # of each tag, where it is open in the stack
         silent: list[str] = []
-        opened: dict[str, int] = {}
-        while at < n:
-            m = _TAG.search(html, at)
-            end = m.start() if m else n
+        at, anchor, quoted = 0, False, True
+        last = lambda tags: max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+        def close(to: int) -> None:
+            while len(stack) > to:
+                places[stack.pop()[0]].pop()
+
+        while True:
+            m = _MARKUP.search(html, at)
+            end = m.start() if m else len(html)
             if end > at and not silent:
-                node = stack[-1][1]
-                piece = html[at:end]
-                self.texts.append((node, piece))
-                size = len(piece.strip())
-                self.inner[node] += size
-                if anchor:
-                    self.linked[node] += size
+                self.texts.append((stack[-1][1], html[at:end], anchor))
             if not m:
-                break
+                return
             at = m.end()
-            if m.group(0) == "<!--":
-                stop = html.find("-->", at)
-                at = n if stop < 0 else stop + 3
-                continue
-            tag = (m.group(2) or "").lower()
-            if not tag:
+            if m.group(2) is None:
+                if m.group(0) == "<!--":
+                    at -= 2  # <!--> and <!---> are whole comments
+                    stop = html.find("-->", at)
+                    at = stop + 3
+                else:
+                    stop = html.find(">", at)
+                    at = stop + 1
+                if stop < 0:
+                    return
                 continue
+            tag, attributes = m.group(2).lower(), ""
+            stop = _REST.match(html, at).end() if quoted else html.find(">", at)
+            if quoted and stop == len(html):
+                quoted = False  # from here on quotes pair with nothing
+                stop = html.find(">", at)
+            if stop < 0:
+                return
+            attributes, at = html[at:stop], stop + 1
             if m.group(1):
                 if silent:
                     if tag == silent[-1]:
                         silent.pop()
-                    continue
-                if tag == "a":
+                elif tag == "a":
                     anchor = False
-                elif opened.get(tag):
-                    while stack[-1][0] != tag:
-                        opened[stack.pop()[0]] -= 1
-                    opened[stack.pop()[0]] -= 1
+                elif places.get(tag) and (tag in _TABLE or places[tag][-1] > last(_CELLS)):
+                    close(places[tag][-1])
                     self.texts.append(None)
                 continue
             if tag in _VOID:
                 if tag in ("br", "hr") and not silent:
-                    self.texts.append((stack[-1][1], " "))
+                    self.texts.append((stack[-1][1], " ", anchor))
                 continue
-            if tag in _SILENT and not m.group(3).endswith("/"):
+            if tag in _SILENT and not attributes.endswith("/"):
                 if tag in _RAW:
-                    stop = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(html, at)
-                    at = stop.end() if stop else n
+                    found = re.compile(rf"</{tag}(?=[\s/>])[^>]*+>", re.IGNORECASE).search(html, at)
+                    if not found:
+                        return
+                    at = found.end()
                 else:
                     silent.append(tag)
                 continue
@@ -139,19 +180,12 @@ class Page:
                     continue
             if tag in _KIND:
                 self.texts.append(None)
-                for k in range(len(stack) - 1, max(0, len(stack) - 8), -1):
-                    open_tag = stack[k][0]
-                    if open_tag == "p" or open_tag in _IMPLIED.get(tag, ()):
-                        while len(stack) > k:
-                            opened[stack.pop()[0]] -= 1
-                        break
-                    if open_tag in ("div", "section", "article", "ul", "ol", "table", "td", "body", "blockquote", "aside", "main"):
-                        break
-                opened[tag] = opened.get(tag, 0) + 1
-                if self.depth[stack[-1][1]] < DEEPEST:
-                    self._open(tag, m.group(3), stack)
-                else:
-                    stack.append((tag, stack[-1][1]))
+                if (p := last(("p",))) > last(_NO_P_BEYOND):
+                    close(p)
+                if tag in _IMPLIED and (k := last(_IMPLIED[tag])) > last(_BEYOND[tag]):
+                    close(k)
+                places.setdefault(tag, []).append(len(stack))
+                stack.append((tag, self._node(tag, attributes, stack[-1][1], len(self.texts))))
             else:
                 node = stack[-1][1]
                 self.tags[node] += 1
@@ -205,7 +239,10 @@ def features(page: Page) -> np.ndarray:
     hits = np.array([_hits(a) if a else (0, 0) for a in page.attributes], float)
     good, bad, clutter, inside = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
     apart = np.isin(kind, [_KIND[t] for t in ("nav", "header", "footer", "aside", "form")])
-    place, seen, same = np.zeros(n), np.zeros(n), np.zeros(n)
+    same, place = np.zeros(n), np.zeros(n)
+    by = np.lexsort((page.order, parent))
+    place[by] = np.arange(n) - np.searchsorted(parent[by], parent[by])
+    place /= np.maximum(1, kids[np.maximum(parent, 0)] - 1)
     count = np.zeros((n, len(_KINDS)))
     np.add.at(count, (parent[1:], kind[1:]), 1)
     for k in range(1, n):
@@ -214,8 +251,6 @@ def features(page: Page) -> np.ndarray:
         bad[k] = bad[p] + hits[p, 1]
         clutter[k] = clutter[p] + apart[p]
         inside[k] = inside[p] + (kind[p] == 0)
-        place[k] = seen[p] / max(1, kids[p] - 1)
-        seen[p] += 1
         same[k] = count[p, kind[k]] / kids[p]
     up = np.maximum(parent, 0)
     out = np.zeros((n, FEATURES), np.float32)
@@ -343,8 +378,10 @@ class Writer:
             return self.tag(self.pick(["ul", "ol"]), "".join(self.tag("li", self.words(3, 25), "", keep) for _ in range(self.r.integers(2, 6))), "", keep)
         if kind < 0.92:
             return self.tag("blockquote", self.tag("p", text, "", keep), "", keep)
-        if kind < 0.96:
+        if kind < 0.95:
             return self.tag("div", text, "", keep)
+        if kind < 0.97 and keep:
+            return f"{text}<br>"  # beside the blocks
         return self.tag("table", self.tag("tr", "".join(self.tag("td", self.words(1, 12), "", keep) for _ in range(3)), "", keep), "", keep)
 
     def clutter(self) -> str:
@@ -354,6 +391,7 @@ class Writer:
             lambda: self.tag("div", self.pick([self.words(3, 30), paragraph(3, 30)]), self.named(["ad", "ads", "advert", "banner", "promo", "sponsored", "ad-slot"])),
             lambda: self.tag(self.pick(["aside", "div"]), "".join(paragraph(5, 50) for _ in range(r.integers(1, 4))) + self.tag("ul", self.links(r.integers(2, 8))), self.named(["sidebar", "side", "widget", "related", "right-rail"], 0.95)),
             lambda: self.tag("aside", paragraph(4, 60)),
+            lambda: self.tag("div", self.words(2, 20) + self.tag("ul", self.links(r.integers(2, 6))), self.named(["ad", "sidebar", "promo", "notice", "related"], 0.95)),
             lambda: self.tag("div", paragraph(6, 40) + self.tag("button", self.words(1, 3)), self.named(["cookie-notice", "cookie", "consent", "notice", "gdpr-banner", "alert", "popup"], 0.97)),
             lambda: self.tag("form", self.tag("label", self.words(1, 4)) + "<input>" + self.tag("button", self.words(1, 3)) + (paragraph(3, 20) if self.chance(0.4) else ""), self.named(["search", "newsletter", "subscribe", "login", "signup"])),
             lambda: self.tag("div", self.links(r.integers(3, 7), "span"), self.named(["share", "social", "sharing", "tags", "breadcrumb"])),
@@ -379,6 +417,8 @@ class Writer:
         if self.chance(0.15):  # an own head and foot of the article
             parts.insert(0, self.tag("header", parts.pop(0), "", True)) if "data-keep" in parts[0] and parts[0][:2] == "<h" else None
         main = "".join(parts)
+        if self.chance(0.12):  # a bare piece of a page
+            return "".join([self.words(4, 60), *(p for p in parts if self.chance(0.6))]) if self.chance(0.7) else main
         for _ in range(self.r.integers(0, 2) if self.chance(0.5) else 0):
             main = self.tag(self.pick(["div", "section"]), main, self.named(["content", "post-body", "entry-content", "text", "prose"], 0.6), True)
         if self.chance(0.75):

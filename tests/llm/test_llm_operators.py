@@ -474,6 +474,63 @@ def test_extraction(spark):
     assert html_extract.main_text(table.limit(0)).count() == 0
 
 
+def plain_reading(html):
+    """The tags and texts of a page, a character at a time: [("tag", name), ("text", ...)]."""
+    out, at, text = [], 0, ""
+    while at < len(html):
+        if html.startswith("<!--", at):
+            stop = html.find("-->", at + 2)
+            at = len(html) if stop < 0 else stop + 3
+            continue
+        if html[at] == "<" and at + 1 < len(html) and (html[at + 1].isalpha() or html[at + 1] == "/" and html[at + 2 : at + 3].isalpha()):
+            k = at + 1
+            while k < len(html) and html[k] not in " \n/>" or k == at + 1:
+                k += 1
+            name, quote, before = html[at + 1 : k], "", ""
+            while k < len(html):
+                c = html[k]
+                if quote:
+                    quote = "" if c == quote else quote
+                elif c in "'\"" and before == "=":
+                    quote = c
+                elif c == ">":
+                    break
+                if not c.isspace():
+                    before = c
+                k += 1
+            out += [("text", text), ("tag", name)]
+            text, at = "", k + 1
+            continue
+        text += html[at]
+        at += 1
+    return [x for x in [*out, ("text", text)] if x[1]]
+
+
+def test_hostile_markup_is_read_as_by_a_plain_reader():
+    r = np.random.default_rng(21)
+    bits = ["word", " ", "<p>", "</p>", "<div>", "</div>", "<b>", "</b>", "<!-->", "<!--->", "<!-- a > b -->", '<p title="a<b">', "<p title='x>y'>", '<i data-x = "' + "B>" * 1500 + '">', "<p a'b>", '<br x"y>', "< p", "<", "a<1"]
+    for _ in range(300):
+        html = "".join(r.choice(bits, int(r.integers(1, 30))))
+        page = html_extract.Page(html)
+        assert "".join(t[1] for t in page.texts if t is not None and t[1] != " ").replace(" ", "") == "".join(x for kind, x in plain_reading(html) if kind == "text").replace(" ", "")
+        assert len(page.kind) - page.kind.count(html_extract._KIND["#text"]) - 1 == sum(kind == "tag" and x in ("p", "div") for kind, x in plain_reading(html))
+
+
+def test_pages_without_form():
+    words = "A paragraph with enough words to read, and more of them."
+    read = lambda h: html_extract.extract([h], html_extract.model())[0]
+    assert read(f'<p title="a<b">{words}</p><p>{words}</p>') == f"{words}\n{words}"
+    assert read(f"{words}<p>{words}</p>") == f"{words}\n{words}"
+    assert read(f'<article><img alt="{"B>" * 2500}"><p>{words}</p></article>') == words
+    assert read(f"<article><!--><p>{words}</p></article>") == words
+    assert read(f'<article><p title="never closed>{words}</p><p>{words}</p></article>') == f"{words}\n{words}"
+    assert read("<div>" * 20_000 + words) == words and read('<a href="' * 20_000) == ""
+    assert read("<article><ul><li>one<ul><li>inner<li>inner two</ul>tail<li>two</ul></article>") == "one\ninner\ninner two\ntail\ntwo"
+    assert read(f"<article><h1>T</h1>{'<p>' + words + '</p>'}</article><footer>foot<p") == f"T\n{words}"
+    long = "word " * 400_000
+    assert read(f"<article><p>{long}</p></article>") == long.strip()
+
+
 def test_decoding_never_contradicts():
     r = np.random.default_rng(10)
     for _ in range(200):
