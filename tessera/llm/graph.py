@@ -1,39 +1,18 @@
-"""Connected components of an edge table, and joins that a hot key cannot overload."""
+"""Joins that a hot key cannot overload, beside the library's connected components."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import written
+from tessera.operators.graph import components
+
+__all__ = ["attach", "components"]
 
 #: At most so many keys are joined by broadcast.
 HEAVY_KEYS = 1000
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """edges: a, b (longs).  Returns node, root: the smallest node that links lead to; for nodes with an edge.
-
-    Alternating large and small stars: every node passes the least of its neighbours to the larger
-    ones, then to the smaller ones, until each component is a star.  Every round is two joins of the
-    edge table with one row a node; no neighbour list is ever held by a task.
-    """
-    edges = written(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u < v").distinct())
-    before = None
-    while True:
-        both = edges.select(F.col("v").alias("x"), F.col("u").alias("y")).unionByName(edges.select(F.col("u").alias("x"), F.col("v").alias("y")))
-        least = both.groupBy("x").agg(F.min("y").alias("m")).withColumn("m", F.least("x", "m"))
-        large = both.join(least, "x").where("y > x").select(F.col("y").alias("v"), F.col("m").alias("u")).distinct()
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(least, "v")
-        small = small.select(F.col("u").alias("v"), F.col("m").alias("u")).where("u < v").unionByName(least.select("v", F.col("m").alias("u"))).distinct()
-        edges = written(small)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.col("u").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
-        before = now
-
-
 def attach(rows: DataFrame, table: DataFrame, key: str, size: str, n_rows: int) -> DataFrame:
     """rows left join table on key, where ``size`` says how many rows have the key.
 

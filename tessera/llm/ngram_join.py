@@ -31,15 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import attach, components
-from .runtime import text_of, written
+from .runtime import HASHED_BITS, hashed_bits, marked, text_of, written
 from .shingles import mix, shingle_set, word_prints
 from .signature_tree import Forest, Tree, linked_pairs, signature
 
 WORDS, PERCENT = 5, 80
 #: Index entries of a bucket on average at most; groups up to PAIRED sets give pairs; sets of a block.
 BUCKET_ENTRIES, PAIRED, BLOCK = 1_000_000, 32, 2048
-#: Bytes of sets that one task of the exact step gets on average; bits of the filter on documents that take part in it.
-TASK_BYTES, FILTER_BITS = 32 << 20, 1 << 26
+#: Bytes of sets that one task of the exact step gets on average.
+TASK_BYTES = 32 << 20
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
@@ -235,22 +235,13 @@ def _sets(words: int, members: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bit = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((members[bit >> 3] >> (bit & 7)) & 1 == 1))
+            batch = batch.filter(pa.array(marked(bit, members)))
             found = [shingle_set(w, words) for w in word_prints(_bytes(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([set_hash(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "sid", "data"])
 
     return run
 
 
-def _filter_bits(ids: DataFrame) -> np.ndarray:
-    """A bitmap of FILTER_BITS hashed ids: a fixed size whatever their number, and no id is missed."""
-    words = ids.select(F.floor(F.col("bit") / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(bit, 64) as int))").alias("value")).groupBy("word").agg(F.bit_or("value").alias("value"))
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words.toLocalIterator():
-        out[r["word"]] = r["value"]
-    return out.view(np.uint8)
-
-
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: id, n_shingles, component_id (the least id that links lead to)."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text).alias("text"))
@@ -276,10 +267,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     # whole sets of the classes in clusters, by blocks of each cluster
     sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     take = clusters.join(sizes, "root").withColumnRenamed("node", "sid").join(classes.select("sid", "n", F.col("least").alias("id")), "sid")
-    take = written(take.withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))))
-    wanted = _filter_bits(take.select("bit"))
+    take = written(take.withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(HASHED_BITS))))
+    wanted = hashed_bits(take.select("bit"))
     weight = take.agg(F.sum(F.col("n").cast("long") * 8 * F.col("blocks"))).first()[0] or 0
-    sets = slim.withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))).mapInArrow(_sets(words, wanted), "id long, sid long, data binary")
+    sets = slim.withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(HASHED_BITS))).mapInArrow(_sets(words, wanted), "id long, sid long, data binary")
     sets = sets.join(take.select(F.col("id").alias("_id"), "sid", "root", "blocks"), "sid").where(F.col("id").eqNullSafe(F.col("_id")))
     mine = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     sets = sets.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

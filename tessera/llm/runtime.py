@@ -2,48 +2,30 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.storage import discard, shared_dir, written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``.
+__all__ = ["HASHED_BITS", "discard", "hashed_bits", "marked", "running_totals", "shared_dir", "text_of", "written"]
 
-    Where it is unset, a local session gets a temporary folder; a session on a cluster raises, since
-    a machine-local folder would not be seen by the other machines.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def written(df: DataFrame) -> DataFrame:
-    """The same rows, written as Parquet in the shared folder and read back: lineage ends here and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_forget, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _forget(spark: SparkSession, path: str) -> None:
-    """Removes a written table when the driver ends; a session that is already gone leaves it to the cluster's own clean-up."""
-    context = spark.sparkContext
-    if context._jsc is None or context._gateway is None:
-        return
-    try:
-        where = context._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:  # noqa: BLE001  the gateway can close first
-        return
+#: Bits of a filter on hashed keys.
+HASHED_BITS = 1 << 26
+
+
+def hashed_bits(keys: DataFrame, bits: int = HASHED_BITS) -> np.ndarray:
+    """keys: bit.  A bitmap of hashed keys: a fixed size whatever their number, and no key is missed."""
+    words = keys.select(F.floor(F.col("bit") / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(bit, 64) as int))").alias("value")).groupBy("word").agg(F.bit_or("value").alias("value"))
+    out = np.zeros(bits // 64, np.int64)
+    for r in words.toLocalIterator():
+        out[r["word"]] = r["value"]
+    return out.view(np.uint8)
+
+
+def marked(bit: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the keys' bits are set."""
+    return (bits[bit >> 3] >> (bit & 7)) & 1 == 1
 
 
 def text_of(column: str = "text") -> Column:
