@@ -20,11 +20,12 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import text_of, written
+from .runtime import HASHED_BITS, hashed_bits, marked, text_of, written
 
 #: Fixed patterns of the base kinds, in the order of ties.
 BASE = {
@@ -36,8 +37,8 @@ BASE = {
 LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 #: Fixed words of a credential context, and the signs that lead to its value.
 CONTEXT = re.compile(
-    r"""(?ai:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credentials?|auth|bearer|login))"""
-    r"""["']?[ \t]{0,4}(?:[:=]{1,2}>?|\bis\b)[ \t]{0,4}["'`]?([^\s"'`<>,;]{6,})"""
+    r"""(?ai:\b(?:pass(?:word|wd|phrase|code|wort)?|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credentials?|auth|bearer|login|kennwort|mot de passe|contrase\u00f1a|clave|geheim(?:nis)?|jeton))"""
+    r"""["']?[ \t]{0,4}(?:[:=]{1,2}>?|\b(?:is|ist|est|es)\b)[ \t]{0,4}["'`]?([^\s"'`<>,;]{6,})"""
 )
 #: Base-10 logarithm of the guesses from which a value counts; shortest and longest word and value part looked at by it.
 GUESSES, SHORTEST_WORD, LONGEST_WORD = 10.0, 3, 24
@@ -51,7 +52,7 @@ _DATE = re.compile(r"(?:(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12
 #: Parts into which the rows of one value are dealt.
 DEALT = 16
 #: One of these is in every match of CONTEXT and of assign.
-_LEADS = re.compile(r"[:=]|\bis\b")
+_LEADS = re.compile(r"[:=]|\b(?:is|ist|est|es)\b")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LOG = [0.0, *(math.log10(k) for k in range(1, 200))]
 _DATE_COST, _YEAR_COST, _WALK_START = math.log10(365 * 120), math.log10(120), math.log10(47)
@@ -167,20 +168,46 @@ def _without_values(text: str) -> str:
     return text
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(texts: Iterator[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """The words of some texts and how often they occur, in parts that Spark sums."""
     total: Counter[str] = Counter()
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
+    for some in texts:
+        for text in some.to_pylist():
             total.update(_without_values(text).lower().split())
-        if len(total) > 400_000:  # passed on in parts, summed by Spark
-            yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["word", "n"])
-            total.clear()
+            if len(total) > 200_000:
+                yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["word", "n"])
+                total.clear()
     yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["word", "n"])
 
 
+def _some(copied: np.ndarray, wanted: bool):
+    """The texts whose bit says that they have copies, or those whose bit says that they have none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield batch.column(0).filter(pa.array(marked(batch.column(1).to_numpy(), copied) == wanted))
+
+    return run
+
+
+def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
+    """word, n: parts of the counts over all distinct texts.
+
+    A filter of a fixed size marks the hashes of more than one row.  Texts that it leaves out have no copy
+    and are counted where they are read; the others, and those that it marks by chance, are shuffled to
+    find the distinct ones.
+    """
+    rows = docs.select(text_of(text).alias("text")).withColumn("hash", F.xxhash64("text")).withColumn("bit", F.pmod("hash", F.lit(HASHED_BITS)))
+    copied = hashed_bits(rows.groupBy("hash").agg(F.count("*").alias("n"), F.first("bit").alias("bit")).where("n > 1").select("bit"))
+    single, several = _some(copied, False), _some(copied, True)
+    alone = rows.select("text", "bit").mapInArrow(lambda batches: _count(single(batches)), "word string, n long")
+    more = rows.select("text", "bit").mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([some], ["text"]) for some in several(batches)), "text string").distinct()
+    return alone.unionByName(more.mapInArrow(lambda batches: _count(b.column(0) for b in batches), "word string, n long"))
+
+
 def word_ranks(docs: DataFrame, text: str = "text") -> DataFrame:
     """word, rank: all words of SHORTEST_WORD to LONGEST_WORD letters, and no other characters, by frequency over all distinct texts."""
-    words = docs.select(text_of(text).alias("text")).distinct().mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    words = count_words(docs, text).groupBy("word").agg(F.sum("n").alias("n"))
     plain = F.regexp_replace("word", r"^\P{L}+|\P{L}+$", "")
     words = words.groupBy(plain.alias("word")).agg(F.sum("n").alias("n")).where(f"length(word) between {SHORTEST_WORD} and {LONGEST_WORD} and n >= {LEAST_COUNT}")
     words = words.where(F.col("word").rlike(r"^\p{L}+$")).orderBy(F.desc("n"), "word").select("word", F.monotonically_increasing_id().alias("_at"))
