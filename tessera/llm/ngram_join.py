@@ -1,7 +1,10 @@
 """Near-duplicate classes: the Jaccard join of word-shingle sets, by signature trees.
 
-1. One pass over the texts makes each set's hash, size, bitmap and prefix.  Two sets that reach the
-   threshold share one of their (1 - threshold) n + 1 least shingles, so only these are indexed.
+1. A first pass over the texts counts the shingles that many sets have; a second makes each set's hash,
+   size, bitmap and prefix.  Two sets that reach the threshold share one of their (1 - threshold) n + 1
+   first shingles in any one order, so only these are indexed.  The order is by hash, but the frequent
+   shingles come last: a passage that many documents share is in the prefix of those only that have little
+   else.  Which shingles count as frequent changes what is compared, never what is found.
 2. Equal sets are one class from here on, so copies cost nothing more.
 3. The index groups sets by shared prefix shingle.  Small groups give pairs, which their bitmaps
    filter; in large groups signature trees are traversed (see signature_tree), in blocks of BLOCK sets
@@ -31,15 +34,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import attach, components
-from .runtime import HASHED_BITS, hashed_bits, marked, text_of, written
+from .runtime import HASHED_BITS, discard, hashed_bits, marked, text_of, written
 from .shingles import mix, shingle_set, word_prints
 from .signature_tree import Forest, Tree, linked_pairs, signature
 
 WORDS, PERCENT = 5, 80
 #: Index entries of a bucket on average at most; groups up to PAIRED sets give pairs; sets of a block.
 BUCKET_ENTRIES, PAIRED, BLOCK = 1_000_000, 32, 2048
-#: Bytes of sets that one task of the exact step gets on average.
-TASK_BYTES = 32 << 20
+#: Frequent shingles: sets of a task that must have one to be counted, of all; how many at most; shingles counted at once.
+SEEN, HOT, FREQUENT, CHUNK = 4, 64, 1 << 20, 4 << 20
+#: Rows and bytes of sets that are traversed in one call on average, and such calls at least.
+SLOT_ROWS, SLOT_BYTES, SLOTS = 500, 4 << 20, 64
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
@@ -55,7 +60,58 @@ def set_hash(tokens: np.ndarray) -> int:
         return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
 
 
-def _signatures(words: int, percent: int):
+def _common(words: int):
+    """The shingles that SEEN sets or more of some CHUNK shingles have, and how many; equal sets of a task count once."""
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+        many = n >= SEEN
+        return pa.RecordBatch.from_arrays([pa.array(found[many].view(np.int64)), pa.array(n[many])], ["token", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, held, size = set(), [], 0
+        for batch in batches:
+            for prints in word_prints(_bytes(batch.column(0))):
+                s = shingle_set(prints, words)
+                if (h := set_hash(s)) not in seen:
+                    seen.add(h)
+                    held.append(s)
+                    size += len(s)
+                if size > CHUNK:
+                    yield counted(held)
+                    held, size = [], 0
+        yield counted(held)
+
+    return run
+
+
+def frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (in order) that HOT sets or more have, and their counts: FREQUENT at most, the most frequent ones."""
+    found = written(texts.mapInArrow(_common(words), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT))
+    sizes = {r["k"]: r["count"] for r in found.groupBy(F.floor(F.log2("n")).alias("k")).count().collect()}  # a row a power of two
+    least, held = 63, 0
+    while least and held + sizes.get(least - 1, 0) <= FREQUENT:
+        least -= 1
+        held += sizes.get(least, 0)
+    some = found.where(F.col("n") >= 1 << least).toArrow()
+    discard(found)
+    token = some["token"].to_numpy().view(np.uint64)
+    order = np.argsort(token)
+    return token[order], some["n"].to_numpy()[order]
+
+
+def prefix(s: np.ndarray, k: int, hot: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The k first shingles of a set (in order of hashes): those that are not hot, then the hot ones, rarest first."""
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
+        is_hot = hot[at] == s
+        if is_hot.any():
+            last = s[is_hot]
+            s = np.concatenate((s[~is_hot], last[np.argsort(counts[at[is_hot]], kind="stable")]))
+    return s[:k]
+
+
+def _signatures(words: int, percent: int, hot: np.ndarray, counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, sizes, bitmaps, prefixes = [], [], [], []
@@ -64,7 +120,7 @@ def _signatures(words: int, percent: int):
                 hashes.append(set_hash(s))
                 sizes.append(len(s))
                 bitmaps.append(signature(s) if len(s) else b"")
-                prefixes.append(s[: len(s) + (-percent * len(s)) // 100 + 1].tobytes() if len(s) else b"")
+                prefixes.append(prefix(s, len(s) + (-percent * len(s)) // 100 + 1, hot, counts).tobytes() if len(s) else b"")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bitmaps, pa.binary()), pa.array(prefixes, pa.binary())], ["id", "sid", "n", "bits", "prefix"])
 
     return run
@@ -245,7 +301,7 @@ def _sets(words: int, members: np.ndarray):
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: id, n_shingles, component_id (the least id that links lead to)."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text).alias("text"))
-    rows = written(slim.mapInArrow(_signatures(words, percent), "id long, sid long, n int, bits binary, prefix binary"))
+    rows = written(slim.mapInArrow(_signatures(words, percent, *frequent(slim.select("text"), words)), "id long, sid long, n int, bits binary, prefix binary"))
     total = rows.agg(F.count("*").alias("rows"), F.sum(F.octet_length("prefix")).alias("bytes")).first()
     buckets = max(1, math.ceil((total["bytes"] or 0) / 8 / BUCKET_ENTRIES))
     full = rows.where("n > 0")
@@ -259,7 +315,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     near = pairs.mapInArrow(_passing(percent), "a long, b long")
     large = found.where("block is not null").select("block", "side", F.col("a").alias("sid"))
     members = large.join(bits.withColumnRenamed("bits", "data"), "sid")
-    slots = max(16, math.ceil(total["rows"] / 4000))
+    slots = max(SLOTS, math.ceil(total["rows"] / SLOT_ROWS))
     members = members.withColumn("slot", F.pmod("block", F.lit(slots)).cast("int"))
     near = near.unionByName(members.groupBy("slot").applyInArrow(_joined(percent, False), "a long, b long"))
     clusters = written(components(near))
@@ -276,7 +332,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     sets = sets.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
     sets = sets.select("sid", "data", F.xxhash64("root", low, high).alias("block"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
-    sets = sets.withColumn("slot", F.pmod("block", F.lit(max(16, math.ceil(weight / TASK_BYTES)))).cast("int"))
+    sets = sets.withColumn("slot", F.pmod("block", F.lit(max(SLOTS, math.ceil(weight / SLOT_BYTES)))).cast("int"))
     links = sets.groupBy("slot").applyInArrow(_joined(percent, True), "a long, b long")
     linked = components(links)
 

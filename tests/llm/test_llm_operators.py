@@ -215,6 +215,55 @@ def test_pii_learns_from_votes(spark):
     found = {r["doc_id"]: r["spans"] for r in pii.find_pii(table).collect()}
     assert all(len(found[k]) == 1 for k in range(200))
     assert all(len(found[k]) == 1 and not found[k][0]["base"] for k in range(200, 240))
+    assert all(not found[k] for k in range(240, 280))
+
+
+def test_pii_parts_of_failing_matches(spark):
+    """Two cards in a row, and a phone number before an address, fail as one base match; numbers whose check digit is wrong stay out."""
+    cards = ["4111111111111111", "5500005555555559", "4012888888881881"]
+    texts = [f"paid with {c} then" for c in cards * 20] + [f"see {c[:-1]}{(int(c[-1]) + 3) % 10} there" for c in cards * 20] + [f"both {cards[0]} {cards[1]} now", "call +1 (826) 555-4081 190.137.223.204 please"] + [f"call +1 (826) 555-{k:04d} now" for k in range(60)]
+    got = {r["doc_id"]: [(s["kind"], texts[r["doc_id"]][s["start"] : s["end"]], s["base"]) for s in r["spans"]] for r in pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert all(len(got[k]) == 1 and got[k][0][2] for k in range(60)) and all(got[k] == [] for k in range(60, 120))
+    assert got[120] == [(2, cards[0], False), (2, cards[1], False)]
+    assert got[121] == [(3, "+1 (826) 555-4081", False), (1, "190.137.223.204", True)]
+
+
+def plain_votes(rows):
+    """rows: votes and count.  Prior and P(vote | class) by expectation-maximisation, in plain Python."""
+    n = pii.LABELERS
+    prior, p = 0.5, [[{-1: 0.4, 0: 0.4, 1: 0.2} for _ in range(n)], [{-1: 0.2, 0: 0.4, 1: 0.4} for _ in range(n)]]
+    yes = lambda v: 1 / (1 + np.exp(-(np.log(prior / (1 - prior)) + sum(np.log(p[1][j][v[j]]) - np.log(p[0][j][v[j]]) for j in range(n)))))
+    for _ in range(pii.ROUNDS):
+        q = [(v, c * (1 - yes(v)), c * yes(v)) for v, c in rows]
+        total = [sum(x[k] for x in q) for k in (1, 2)]
+        prior = (total[1] + 1) / (sum(total) + 2)
+        p = [[{x: (1 + sum(r[k + 1] for r in q if r[0][j] == x)) / (total[k] + 3) for x in (-1, 0, 1)} for j in range(n)] for k in (0, 1)]
+    return [prior] + [p[k][j][x] for k in (0, 1) for x in (-1, 0, 1) for j in range(n)], yes
+
+
+def test_pii_fits_against_plain_ones(spark):
+    r = np.random.default_rng(4)
+    rows, bits = [], []
+    for k in range(600):
+        true = k % 3 > 0
+        rows.append((2, [int(r.choice([-1, 0, 1], p=[0.1, 0.3, 0.6] if true else [0.5, 0.3, 0.2])) for _ in range(pii.LABELERS)], int(r.integers(0, 128))))
+    # a kind in which no labeler ever says yes, and one of a single pattern
+    rows += [(0, [-1, 0, -1, 0, 0], 3)] * 5 + [(1, [1, 1, 1, 1, 1], 127)] * 4
+    found = spark.createDataFrame(rows, "kind int, votes array<int>, bits int")
+    theta = {x["kind"]: x["theta"] for x in pii.fit_votes(found).collect()}
+    weights = {x["kind"]: x["weights"] for x in pii.fit_spans(found, pii.fit_votes(found)).collect()}
+    n = pii.LABELERS
+    for kind in (0, 1, 2):
+        own = [x for x in rows if x[0] == kind]
+        counts = collections.Counter(tuple(x[1]) for x in own)
+        want, yes = plain_votes(list(counts.items()))
+        assert theta[kind] == pytest.approx(want, rel=1e-6)
+        assert sum(theta[kind][1 + 5 * n : 1 + 6 * n]) >= sum(theta[kind][1 + 2 * n : 1 + 3 * n])
+        x = np.array([[b >> k & 1 for k in range(pii.FEATURES - 1)] + [1] for *_, b in own], float)
+        y, w = np.array([yes(v) for _, v, _ in own]), np.zeros(pii.FEATURES)
+        for _ in range(pii.STEPS):
+            w = w - pii.RATE * (((1 / (1 + np.exp(-x @ w)) - y) @ x) / len(own) + 0.001 * w)
+        assert weights[kind] == pytest.approx(list(w), rel=1e-5, abs=1e-8)
 
 
 # ---- n-gram join
