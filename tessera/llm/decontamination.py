@@ -8,8 +8,8 @@ every document is then projected, and its cosine taken in that space with every
 with every item as a whole, in blocks.
 A passage near an item is checked: the longest common subsequence of words, against the stretch of the
 document around the passage, must cover nearly all of the item, or enough of it and of its answer, its
-last sentence.  Words in more than STOP_PART of all documents weigh nothing, but for the KEPT_WORDS rarest
-of each item's passage, so that no part of an item is without weight.
+last sentence.  Each passage of an item is looked for by its KEPT_WORDS rarest words, whatever their
+frequency; other words weigh nothing.  So what is found does not depend on the size of the corpus.
 
 A document is contaminated by an item that passes.  Words are runs of characters other than ASCII white
 space, A-Z lower-cased, so that rewrapped lines and case do not matter, nor do inserted, dropped or
@@ -34,12 +34,12 @@ from .shingles import batches, words_of
 
 #: Dimensions of hashed words; words of a passage and its step; rank of the latent space, and columns beyond it.
 WIDTH, PASSAGE, STEP, RANK, EXTRA = 1 << 18, 32, 16, 256, 16
-#: Words in a larger part of all documents weigh nothing; so many of an item passage's rarest do anyway; a passage needs so many words with weight.
-STOP_PART, KEPT_WORDS, LEAST_HITS = 0.005, 10, 3
+#: So many of an item passage's rarest words have weight; a passage needs so many words with weight.
+KEPT_WORDS, LEAST_HITS = 10, 3
 #: Least cosine of a candidate; least part of an item that the common subsequence covers, alone or with so much of the answer.
 COSINE, ALONE, COVER, ANSWER = 0.5, 0.85, 0.7, 0.5
-#: Items' passages compared at once; slices in which sums are made.
-ITEM_BLOCK, SLICES = 2048, 64
+#: Items' passages compared at once, and passages of a text compared with them at once; slices in which sums are made.
+ITEM_BLOCK, TAKEN, SLICES = 2048, 4096, 64
 
 
 class Words:
@@ -108,9 +108,9 @@ def inverse_frequencies(found: np.ndarray) -> np.ndarray:
     return np.log((1 + found[WIDTH]) / (1 + found[:WIDTH])).astype(np.float32) + np.float32(0.05)
 
 
-def without_stops(idf: np.ndarray, found: np.ndarray, kept: np.ndarray) -> np.ndarray:
-    """The weights with 0 for frequent words but the kept ones."""
-    out = np.where(found[:WIDTH] > STOP_PART * found[WIDTH], np.float32(0), idf)
+def only(idf: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """The weights with 0 for all but the kept words."""
+    out = np.zeros_like(idf)
     out[kept] = idf[kept]
     return out
 
@@ -140,7 +140,7 @@ def kept_words(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
     return np.unique(keys[rank < KEPT_WORDS] % WIDTH)
 
 
-def latent_space(items: DataFrame, idf: np.ndarray, found: np.ndarray, text: str = "text", rank: int = RANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def latent_space(items: DataFrame, idf: np.ndarray, text: str = "text", rank: int = RANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The weights of all dimensions, those with weight that occur in items, and an orthonormal basis (a row for each) of the leading latent space."""
 
     def used(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +154,7 @@ def latent_space(items: DataFrame, idf: np.ndarray, found: np.ndarray, text: str
 
     texts = items.select(text_of(text))
     seen = _add_up(texts.mapInArrow(used, "slice int, data binary"), WIDTH)
-    idf = without_stops(idf, found, np.flatnonzero(seen >= 1 << 40))
+    idf = only(idf, np.flatnonzero(seen >= 1 << 40))
     dims = np.flatnonzero((seen > 0) & (idf > 0))
     k = min(rank + EXTRA, len(dims))
     if not k:
@@ -229,13 +229,17 @@ def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.nda
 
     def project(w: Words, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The stretches with LEAST_HITS words in the space, or with all their words there, and their directions."""
-        at = place[w.dims]
+        if not len(first):
+            return np.zeros(0, np.int64), np.zeros((0, basis.shape[1]), np.float32)
+        low = int(first.min())
+        first, end, used = first - low, end - low, w.dims[low : int(end.max())]
+        at = place[used]
         hit = np.flatnonzero(at >= 0)
         seen = np.concatenate(([0], np.cumsum(at >= 0)))
         hits = seen[end] - seen[first]
         live = np.flatnonzero((hits > 0) & (hits >= np.minimum(LEAST_HITS, end - first)))
         sums = np.zeros((len(hit) + 1, basis.shape[1]), np.float32)
-        np.cumsum(idf[w.dims[hit], None] * basis[at[hit]], axis=0, out=sums[1:])
+        np.cumsum(idf[used[hit], None] * basis[at[hit]], axis=0, out=sums[1:])
         rows = sums[seen[end[live]]] - sums[seen[first[live]]]
         return live, rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
@@ -255,13 +259,15 @@ def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.nda
                 first, end, text = w.passages()
                 if not len(first):
                     continue
-                live, rows = project(w, first, end)
-                first, end, text = first[live], end[live], text[live]
                 best: dict[tuple[int, int], list] = {}
-                for block in range(0, targets.shape[1], ITEM_BLOCK):
-                    near = rows @ targets[:, block : block + ITEM_BLOCK]
-                    for p, i in np.argwhere(near >= cosine):
-                        best.setdefault((int(text[p]), int(item_of[block + i])), []).append((-float(near[p, i]), int(first[p]), int(end[p])))
+                for p0 in range(0, len(first), TAKEN):
+                    live, rows = project(w, first[p0 : p0 + TAKEN], end[p0 : p0 + TAKEN])
+                    live += p0
+                    for block in range(0, targets.shape[1], ITEM_BLOCK):
+                        near = rows @ targets[:, block : block + ITEM_BLOCK]
+                        for p, i in np.argwhere(near >= cosine):
+                            k = live[p]
+                            best.setdefault((int(text[k]), int(item_of[block + i])), []).append((-float(near[p, i]), int(first[k]), int(end[k])))
                 for (t, i), places in best.items():
                     item, found = known[i], None
                     for score, a, b in sorted(places):
@@ -286,9 +292,8 @@ def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.nda
 
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", id_col: str = "doc_id", item_id: str = "item_id", cosine: float = COSINE) -> DataFrame:
     """A row for each document and item found in it: doc_id, item_id, cosine, cover and answer_cover."""
-    found = document_frequencies(docs, text)
     items = items.select(F.col(item_id).cast("long").alias("item_id"), text_of(text).alias("text"))
-    idf, dims, basis = latent_space(items, inverse_frequencies(found), found)
+    idf, dims, basis = latent_space(items, inverse_frequencies(document_frequencies(docs, text)))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text).alias("text"))
     kind = "doc_id long, item_id long, cosine double, cover double, answer_cover double"
     out, block, held = None, [], 0

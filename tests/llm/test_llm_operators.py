@@ -399,6 +399,52 @@ def test_copies_of_long_items_are_found(spark):
     assert got == {(k, k) for k in range(8)}
 
 
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for k, y in enumerate(b, 1):
+            last, row[k] = row[k], last + 1 if x == y else max(row[k], row[k - 1])
+    return row[-1]
+
+
+def test_every_leak_is_found(spark):
+    """All documents against all items by a plain common subsequence, over windows of every document."""
+    folder = "/root/testdata/sf0.001"
+    docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    items = {r["item_id"]: r["text"].lower().split() for r in items.collect()}
+    texts = {r["doc_id"]: (r["text"] or "").lower().split() for r in docs.collect()}
+    r = np.random.default_rng(6)
+    plain = [w for t in texts.values() for w in t]
+    for k in range(30):  # paraphrases: words dropped, replaced and put in, inside of other words
+        own = list(items[list(items)[k % len(items)]])
+        own = [str(r.choice(plain)) if r.random() < 0.06 else w for w in own if r.random() > 0.04]
+        texts[100_000 + k] = [*r.choice(plain, 60), *own, *r.choice(plain, 200)]
+    want = set()
+    for doc, words in texts.items():
+        count = collections.Counter(words)
+        for item, own in items.items():
+            if sum(min(n, count[w]) for w, n in collections.Counter(own).items()) < decontamination.ALONE * len(own):
+                continue
+            span = len(own) + len(own) // 4
+            if any(longest_common(own, words[a : a + span]) >= decontamination.ALONE * len(own) for a in range(0, max(1, len(words)), max(1, span // 8))):
+                want.add((doc, item))
+    table = spark.createDataFrame([(i, " ".join(w), "clash") for i, w in texts.items()], "doc_id long, text string, item_id string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontamination.contaminated(table, spark.read.parquet(f"{folder}/benchmark.parquet")).collect()}
+    assert len(want) >= 20 and want <= got
+    for doc, item in got - want:  # found by its answer: the rest of the item must be there too
+        assert longest_common(items[item], texts[doc]) >= decontamination.COVER * len(items[item])
+
+
+def test_very_long_text_is_searched_whole(spark, monkeypatch):
+    r = np.random.default_rng(2)
+    item = sentence(r, 60) + "."
+    long = " ".join(f"w{k}" for k in r.integers(0, 5_000, 300_000))
+    table = spark.createDataFrame([(1, long + " " + item), (2, item + " " + long), (3, long), (4, None)], "doc_id long, text string")
+    got = decontamination.contaminated(table, spark.createDataFrame([(7, item), (8, item), (9, None), (10, " ")], "item_id long, text string")).collect()
+    assert sorted((x["doc_id"], x["item_id"]) for x in got) == [(1, 7), (1, 8), (2, 7), (2, 8)]
+
+
 def test_common_subsequence():
     def plain(a, b):
         row = [0] * (len(b) + 1)
