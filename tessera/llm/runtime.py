@@ -34,7 +34,7 @@ def text_of(column: str = "text") -> Column:
 
 
 #: Rows that one fine bucket of running_totals holds on average, and fine buckets of a coarse one.
-FINE_ROWS, COARSE = 20_000, 1024
+FINE_ROWS, COARSE = 2_000, 1024
 
 
 def running_totals(df: DataFrame, parts: list[str], order: str, tie: list[str], value: str, out: str, rows: int) -> DataFrame:

@@ -127,15 +127,45 @@ def test_dedup_in_many_slices(docs, monkeypatch):
 # ---- mixing
 
 
-def test_exponent_meets_targets():
-    tokens = [10_000, 500, 400, 300]
-    total = sum(tokens)
-    a = mixing.fit_exponent(tokens, 0.9, 1e9)
-    assert mixing._entropy(mixing._weights([t / total for t in tokens], a)) == pytest.approx(0.9 * np.log(4), abs=1e-6)
-    b = mixing.fit_exponent(tokens, 1.0, 2.0)
-    shares = [t / total for t in tokens]
-    assert mixing._repeats(shares, mixing._weights(shares, b)) == pytest.approx(2.0, rel=1e-6)
-    assert mixing.fit_exponent([5, 5, 5]) == 1.0 and mixing.fit_exponent([]) == 1.0 and mixing.fit_exponent([0, 7]) == 1.0
+def test_exponent_meets_targets(spark):
+    tokens = [10_000, 500, 400, 300, 0]
+    shares = np.array(tokens[:4]) / sum(tokens)
+    fit = lambda some, *to: mixing.fit_exponent(spark.createDataFrame([(t,) for t in some], "tokens long"), *to)
+    weights = lambda a: shares**a / (shares**a).sum()
+    w = weights(fit(tokens, 0.9, 1e9))
+    assert -(w * np.log(w)).sum() == pytest.approx(0.9 * np.log(4), abs=1e-9)
+    w = weights(fit(tokens, 1.0, 2.0))
+    assert (w / shares).max() / (w / shares).min() == pytest.approx(2.0, rel=1e-9)
+    assert fit([5, 5, 5]) == 1.0 and fit([]) == 1.0 and fit([0, 7]) == 1.0
+
+
+def test_schedule_against_a_plain_one(spark):
+    """Every use of every document, with block and place, by a plain loop over each source."""
+    r = np.random.default_rng(12)
+    made = [(k, " ".join(["w"] * int(r.integers(0, 30))), None if k % 50 == 3 else f"s{min(int(r.integers(0, 12)), 3)}") for k in range(500)]
+    made += [made[7], made[7]]
+    table = spark.createDataFrame(made, "doc_id long, text string, source string")
+    out = mixing.temperature_mix(table, block_tokens=300).collect()
+    plan = {p["source"]: p for p in mixing.mixing_plan(table.withColumn("_tokens", F.size(F.filter(F.split("text", " "), lambda w: w != "")).cast("long"))).collect()}
+    keys = {(k, u): h for k, u, h in spark.range(500).crossJoin(spark.range(4).withColumnRenamed("id", "u")).select("id", "u", F.xxhash64(F.lit(mixing.SEED), F.col("u").cast("int"), "id")).collect()}
+    blocks = max(1, -(-sum(p["budget"] for p in plan.values()) // 300))
+    want = collections.Counter()
+    for source, p in plan.items():
+        own = [(d, len(t.split())) for d, t, s in made if s == source]
+        budget = max(p["budget"], p["tokens"])
+        for use in range(max(1, -(-budget // p["tokens"]) if p["tokens"] else 1)):
+            at = use * p["tokens"]
+            for d, n in sorted(own, key=lambda x: (keys[x[0], use], x[0], x[1])):
+                if use == 0 or at < budget:
+                    want[d, use, min(at * blocks // budget, blocks - 1) if budget else 0, keys[d, use]] += 1
+                at += n
+    assert collections.Counter((x["doc_id"], x["mix"]["use"], x["mix"]["block"], x["mix"]["order_key"]) for x in out) == want
+
+
+def test_many_sources_stay_a_table(spark):
+    table = spark.range(20_000).selectExpr("id AS doc_id", "repeat('w ', cast(1 + id % 7 AS int)) AS text", "if(id % 3 = 0, 'hot', concat('host', id)) AS source")
+    out = mixing.temperature_mix(table)
+    assert out.select("doc_id").distinct().count() == 20_000 and out.agg(F.max("mix.use")).first()[0] <= mixing.MAX_REPEATS
 
 
 def test_mixing(spark, none):
