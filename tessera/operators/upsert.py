@@ -22,7 +22,9 @@ def first_by_key(rows: DataFrame, keys: list[str], order: list[str], nulls_disti
     else the rows are ranked, and Spark ranks within each task before it shuffles.
     """
     keyed = rows.where(~some_null(keys)) if nulls_distinct else rows
-    if len(order) == 1 and set(rows.columns) == {*keys, *order}:
+    if set(rows.columns) == set(keys):
+        one = keyed.distinct()
+    elif len(order) == 1 and set(rows.columns) == {*keys, *order}:
         one = keyed.groupBy(*keys).agg(F.min(order[0]).alias(order[0])).select(*rows.columns)
     else:
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*(F.asc_nulls_last(c) for c in order)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.operators import documents, probes, vectors
+from tessera.operators import documents, geocode, probes, vectors
 from tessera.plans.registry import Tables, query
 from tessera.sources import links, signals
 
@@ -17,12 +17,12 @@ def latest_probe_output(t: Tables) -> DataFrame:
     return runs.select("user_id", "event_type", F.col("ran_at").alias("ts"), probes.parsed("output", "struct<k: int>")["k"].alias("k"))
 
 
-@query("SELECT u.user_id, e.event_type FROM (SELECT DISTINCT user_id FROM events) u, (SELECT DISTINCT event_type FROM events) e WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.user_id = u.user_id AND x.event_type = e.event_type)")
+@query("SELECT u.user_id, e.event_type FROM (SELECT DISTINCT user_id FROM events) u, (SELECT DISTINCT event_type FROM events) e WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.user_id = u.user_id AND x.event_type = e.event_type AND x.value > 60)")
 def probe_cache_miss(t: Tables) -> DataFrame:
-    """Every (article, probe) without a run."""
+    """Every (article, probe) without a run; runs are the events of a high value."""
     types = t.events.select(F.col("event_type").alias("probe_id")).distinct().withColumn("version", F.lit(1))
     users = t.events.select(F.col("user_id").alias("article_id")).distinct().withColumn("content_hash", F.lit(None).cast("string"))
-    runs = t.events.select(F.col("event_type").alias("probe_id"), F.col("user_id").alias("article_id"), F.lit(1).alias("probe_version"), F.lit("").alias("content_hash"))
+    runs = t.events.where("value > 60").select(F.col("event_type").alias("probe_id"), F.col("user_id").alias("article_id"), F.lit(1).alias("probe_version"), F.lit("").alias("content_hash"))
     return probes.due(types, users, runs).select(F.col("article_id").alias("user_id"), F.col("probe_id").alias("event_type"))
 
 
@@ -59,18 +59,37 @@ def page_batching(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", "role", F.floor((k - 1) / 5).alias("batch"))
 
 
-@query("SELECT doc_id, (regexp_matches(text, '(?i)th')::INT + regexp_matches(text, '(?i)tion')::INT + regexp_matches(text, '(?i)der')::INT + regexp_matches(text, '\\d')::INT) AS score FROM documents WHERE (regexp_matches(text, '(?i)th')::INT + regexp_matches(text, '(?i)tion')::INT + regexp_matches(text, '(?i)der')::INT + regexp_matches(text, '\\d')::INT) >= 3")
+_PHRASES = ("LOCATION :", "Owner:", "architect  :", "General contractor:", "Square Footage:", "the design team", "Construction Team", "PROJECT TEAM", "Structural Engineer :", "mechanical engineer:", "Electrical Engineer:", "civil engineer:", "Cost :", "developer:")
+_BITS = "(p_partkey * 7919 % 16384)"
+
+
+@query(f"SELECT p_partkey, bit_count({_BITS})::INTEGER AS score FROM part WHERE bit_count({_BITS}) >= 3")
 def info_signal_score(t: Tables) -> DataFrame:
-    return signals.score_pages(t.documents.select("doc_id", "text"), 3, ("(?i)th", "(?i)tion", "(?i)der", r"\d")).select("doc_id", "score")
+    """Pages that hold any of the 14 signals, one for each bit of a number."""
+    bits = F.pmod(F.col("p_partkey") * 7919, F.lit(16384))
+    pages = t.part.select("p_partkey", F.concat_ws(" x\n", *(F.when(F.getbit(bits, F.lit(k)) == 1, p) for k, p in enumerate(_PHRASES))).alias("text"))
+    return signals.score_pages(pages).select("p_partkey", "score")
 
 
-@query("SELECT doc_id, source FROM documents WHERE lang NOT IN ('de', 'fr') AND text NOT ILIKE '%password%'")
+@query("SELECT o_orderkey FROM orders WHERE (o_orderkey % 4 = 0 OR o_orderkey % 4 = 1) AND o_orderkey % 5 NOT IN (1, 2)")
 def noise_filter(t: Tables) -> DataFrame:
-    kept = (F.col("lang").isNull() | ~F.col("lang").isin("de", "fr")) & ~F.coalesce(F.col("text"), F.lit("")).ilike("%password%")
-    return t.documents.where(kept).select("doc_id", "source")
+    """Articles of a kind, or none, that carry information."""
+    k = F.col("o_orderkey")
+    kind = F.when(k % 4 == 1, "project_feature").when(k % 4 == 2, "column").when(k % 4 == 3, "advertisement")
+    said = F.when(k % 5 == 1, "These PAGES do not contain it").when(k % 5 == 2, "No Information About it").when(k % 5 == 3, "A tower")
+    return t.orders.select("o_orderkey", kind.alias("article_type"), said.alias("summary")).where(~documents.is_noise("article_type", "summary")).select("o_orderkey")
+
+
+@query("SELECT filename, n::BIGINT AS n_articles, CASE WHEN id IS NULL THEN 'fresh' WHEN n = 0 THEN 'resume' ELSE 'skip' END AS state FROM (SELECT 'issue_' || o_orderkey AS filename, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS id, CASE WHEN o_orderkey % 3 <> 0 THEN (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') ELSE 0 END AS n FROM orders)")
+def issue_three_state(t: Tables) -> DataFrame:
+    """What to do with each file: two of three are known issues, some of these without articles."""
+    name = F.concat(F.lit("issue_"), "o_orderkey")
+    issues = t.orders.where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("id"), name.alias("filename"))
+    articles = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("issue_id"))
+    return probes.issue_state(issues, articles, t.orders.select(name.alias("filename"))).select("filename", "n_articles", "state")
 
 
-@query("WITH h AS (SELECT page_id, unnest(list_transform(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1), lambda x: 'https://cdn.example.com' || x)) AS u, generate_subscripts(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1), 1) AS pos FROM pages) SELECT url, page_id AS first_page FROM (SELECT u AS url, page_id, row_number() OVER (PARTITION BY u ORDER BY page_id, pos) AS k FROM h) WHERE k = 1")
+@query("WITH h AS (SELECT page_id, unnest(list_transform(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1), lambda x: 'https://cdn.example.com' || x)) AS u, generate_subscripts(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1), 1) AS pos FROM pages) SELECT u AS url, min(page_id) AS first_page FROM h GROUP BY u")
 def link_harvest(t: Tables) -> DataFrame:
     """Links of all pages, each with the first page that has it."""
     return links.harvest(t.pages, base="https://cdn.example.com", suffix="").select("url", F.col("page_id").alias("first_page"))
@@ -110,7 +129,55 @@ def roles_from_panel_json(t: Tables) -> DataFrame:
     return probes.materialize(outputs)["roles"].select("article_id", "role", "firm", "team", "scope")
 
 
-@query("SELECT c_custkey, 'Owner' AS role, trim(unnest([c_name, c_mktsegment])) AS firm FROM customer")
+@query("SELECT c_custkey, unnest([{'team': 'Design', 'role': 'Architect', 'firm': c_name}, {'team': 'Design', 'role': 'Architect', 'firm': c_mktsegment}, {'team': 'Design', 'role': 'Signs', 'firm': c_mktsegment}, {'team': 'Construction', 'role': 'HVAC', 'firm': c_name}, {'team': 'Construction', 'role': 'Other', 'firm': 'crew'}], recursive := true) FROM customer")
 def team_unpivot(t: Tables) -> DataFrame:
-    role, firms = text.role_and_firm(F.concat(F.lit("Owner: "), "c_name", F.lit(" / "), "c_mktsegment", F.lit(" /")))
-    return t.customer.select("c_custkey", role.alias("role"), F.explode(text.split_firms(firms)).alias("firm"))
+    """Teams by field, and their other entries, as rows."""
+    none = F.lit(None).cast("string")
+    fields = lambda **f: F.create_map(*(x for k, v in f.items() for x in (F.lit(k), v)))
+    design = F.struct(fields(architect=F.concat("c_name", F.lit(" / "), "c_mktsegment", F.lit(" /")), furniture=none, unknown=F.col("c_name")).alias("fields"), F.array(F.concat(F.lit("Signs : "), "c_mktsegment")).alias("other"))
+    construction = F.struct(fields(hvac=F.col("c_name"), roofing=F.lit(" ")).alias("fields"), F.array(F.lit("crew"), F.lit("/")).alias("other"))
+    return t.customer.select("c_custkey", F.explode(text.team_rows(design, construction)).alias("x")).select("c_custkey", "x.*")
+
+
+@query("SELECT conv_id AS article_id, turn::INTEGER AS pos, text, role AS type, CASE WHEN turn BETWEEN 1 AND 10000 THEN turn::INTEGER END AS page FROM conversations WHERE trim(coalesce(text, ''), ' ') <> '' AND turn IS NOT NULL")
+def claims_from_json(t: Tables) -> DataFrame:
+    """Turns written as claims in a JSON that is cut off before its end, read back."""
+    rows = t.conversations.where("turn is not null").select("conv_id", "turn", F.struct("text", F.col("role").alias("type"), F.col("turn").alias("page")).alias("c"))
+    claims = F.to_json(F.struct(F.array("c").alias("claims")), {"ignoreNullFields": "false"})
+    cut = F.substring(claims, 1, F.length(claims) - 2)
+    outputs = rows.select((F.col("conv_id") * 100_000 + F.col("turn")).alias("article_id"), F.lit("claims").alias("probe"), cut.alias("output"))
+    found = probes.materialize(outputs)["claims"]
+    return found.select(F.floor(F.col("article_id") / 100_000).alias("article_id"), (F.col("article_id") % 100_000).cast("int").alias("pos"), "text", "type", "page")
+
+
+@query("SELECT o_orderkey AS article_id, 'Project ' || o_orderkey AS name, 'UT' AS state, round_even(o_totalprice, 0)::BIGINT AS cost_usd, CASE WHEN o_orderkey % 2 = 0 THEN year(o_orderdate)::INTEGER END AS year_completed, CASE WHEN o_orderkey % 3 = 0 THEN 12000 END::INTEGER AS sq_ft FROM orders WHERE o_orderkey % 7 <> 0")
+def projects_from_panel_json(t: Tables) -> DataFrame:
+    """Panels' projects, parsed; a panel without a project's name makes none."""
+    k = F.col("o_orderkey")
+    project = F.struct(
+        F.when(k % 7 != 0, F.concat(F.lit("Project "), "o_orderkey")).alias("name"), F.lit(" ut ").alias("state"), F.concat(F.lit("$"), F.format_number(F.bround("o_totalprice", 0), 0)).alias("cost"),
+        F.when(k % 2 == 0, F.year("o_orderdate").cast("string")).otherwise("about 1999").alias("year_completed"), F.when(k % 3 == 0, "12,000 sf").alias("square_footage"),
+    )
+    outputs = t.orders.select(k.alias("article_id"), F.lit("project_panel").alias("probe"), F.to_json(F.struct(project.alias("project"))).alias("output"))
+    return probes.materialize(outputs)["projects"].select("article_id", "name", "state", "cost_usd", "year_completed", "sq_ft")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'no_query' WHEN c_mktsegment = 'MACHINERY' THEN 'no_match' ELSE 'geocoded' END AS outcome FROM customer")
+def geocode_outcomes(t: Tables) -> DataFrame:
+    """Places asked of a geocoder that knows all but one kind."""
+    import json
+
+    def backend(place: str) -> str:
+        if "MACHINERY" in place:
+            return json.dumps({"status": "ZERO_RESULTS", "results": []})
+        return json.dumps({"status": "OK", "results": [{"geometry": {"location": {"lat": 1.5, "lng": 2.5}}, "address_components": []}]})
+
+    rows = t.customer.select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("location"), F.lit(" ").alias("city"), F.lit(None).cast("string").alias("state"), *(F.lit(None).cast(k).alias(c) for c, k in (("county", "string"), ("lat", "double"), ("lng", "double"))))
+    out, _ = geocode.sweep(rows, backend)
+    return out.select(F.col("id").alias("c_custkey"), F.when(F.col("location").isNull(), "no_query").when(F.col("lat").isNull(), "no_match").otherwise("geocoded").alias("outcome"))
+
+
+@query("SELECT doc_id, len(list_filter(list_distinct(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+')), lambda w: w <> '' AND NOT list_contains([" + ", ".join(f"'{w}'" for w in text.STOP_WORDS) + "], w)))::INTEGER AS n_tokens FROM documents")
+def search_index_size(t: Tables) -> DataFrame:
+    """How many words of each text a search index holds."""
+    return t.documents.select("doc_id", F.size(text.search_tokens("text")).alias("n_tokens"))

@@ -32,8 +32,10 @@ def firm_project_count(t: Tables) -> DataFrame:
 
 @query("SELECT l_orderkey AS project_id, l_linestatus AS team, string_agg(DISTINCT s_name, ', ' ORDER BY s_name) AS firms FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL")
 def team_roster(t: Tables) -> DataFrame:
-    rows = _roles(t).join(t.supplier, F.col("firm_id") == F.col("s_suppkey"))
-    return rows.groupBy("project_id", "team").agg(F.array_join(F.sort_array(F.collect_set("s_name")), ", ").alias("firms"))
+    """Names are joined to the distinct firms of a team, not to its roles."""
+    one = _roles(t).select("project_id", "team", "firm_id").distinct()
+    named = one.join(t.supplier.select(F.col("s_suppkey").alias("firm_id"), "s_name"), "firm_id")
+    return named.groupBy("project_id", "team").agg(F.array_join(F.sort_array(F.collect_set("s_name")), ", ").alias("firms"))
 
 
 @query("SELECT l_orderkey AS project_id, l_linestatus AS team, count(*) AS n_roles FROM lineitem GROUP BY ALL")
@@ -98,13 +100,6 @@ def insert_with_ids(t: Tables) -> DataFrame:
     return upsert.with_ids(t.customer.select("c_custkey", "c_name"), ["c_name", "c_custkey"])
 
 
-@query("SELECT o_orderkey, count(l_orderkey) AS n_articles, CASE WHEN count(l_orderkey) = 0 THEN 'resume' WHEN o_orderstatus = 'P' THEN 'fresh' ELSE 'skip' END AS state FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderstatus")
-def issue_three_state(t: Tables) -> DataFrame:
-    counts = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
-    rows = t.orders.select("o_orderkey", "o_orderstatus").join(counts, "o_orderkey", "left").withColumn("n_articles", F.coalesce("n", F.lit(0)))
-    return rows.select("o_orderkey", "n_articles", F.when(F.col("n_articles") == 0, "resume").when(F.col("o_orderstatus") == "P", "fresh").otherwise("skip").alias("state"))
-
-
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def projects_without_roles(t: Tables) -> DataFrame:
     return t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey", "o_totalprice")
@@ -205,4 +200,61 @@ def bulk_merge_roles(t: Tables) -> DataFrame:
     from tessera.operators.consolidate import merge_children
 
     mapping = t.supplier.where("s_suppkey % 7 = 0 and s_suppkey > 7").select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") - 7).alias("root"))
-    return merge_children(_roles(t), mapping, "firm_id", ["project_id", "firm_id", "role", "team"], [F.col("line")]).select("project_id", "firm_id", "role", "team", "line")
+    return merge_children(_roles(t), mapping, "firm_id", ["project_id", "firm_id", "role", "team"], ["line"]).select("project_id", "firm_id", "role", "team", "line")
+
+
+@query("WITH m AS (SELECT c_custkey AS id, 'P' || c_custkey % 30 AS name, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey % 20 END AS f FROM customer), l AS (SELECT id, name, f - f % 4 AS firm_id, f % 4 <> 0 AS moved FROM m), w AS (SELECT *, first(id) OVER (PARTITION BY name, firm_id ORDER BY moved, id) AS stay FROM l) SELECT id, name, firm_id FROM w WHERE NOT coalesce(moved, false) OR id = stay")
+def merge_people(t: Tables) -> DataFrame:
+    """People after every four firms became one: of those that then are one, one stays."""
+    return _merged(t)["people"].select("id", "name", "firm_id")
+
+
+@query("WITH m AS (SELECT c_custkey AS id, 'P' || c_custkey % 30 AS name, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey % 20 END AS f FROM customer), l AS (SELECT id, name, f - f % 4 AS firm_id, f % 4 <> 0 AS moved FROM m), w AS (SELECT *, first(id) OVER (PARTITION BY name, firm_id ORDER BY moved, id) AS stay FROM l) SELECT o_orderkey AS id, CASE WHEN moved THEN stay ELSE w.id END AS speaker_person_id FROM orders JOIN w ON o_custkey = w.id")
+def merge_repoints_speakers(t: Tables) -> DataFrame:
+    return _merged(t)["quotes"].select("id", "speaker_person_id")
+
+
+def _merged(t: Tables) -> dict[str, DataFrame]:
+    from tessera.operators.consolidate import merge_firms
+
+    firm = F.when(F.col("c_custkey") % 11 != 0, F.col("c_custkey") % 20)
+    firms = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.array().cast("array<string>").alias("aliases"))
+    mapping = t.supplier.sparkSession.range(20).where("id % 4 <> 0").selectExpr("id", "id - id % 4 AS root")
+    people = t.customer.select(F.col("c_custkey").alias("id"), F.concat(F.lit("P"), F.col("c_custkey") % 30).alias("name"), firm.alias("firm_id"))
+    quotes = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("speaker_person_id"))
+    return merge_firms({"firms": firms, "people": people, "quotes": quotes}, mapping)
+
+
+@query("WITH m AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey - l_orderkey % 2 AS project_id, l_suppkey % 3 AS article_id, CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_returnflag END AS text, l_orderkey % 2 AS moved FROM lineitem) SELECT id, project_id, article_id, text FROM (SELECT *, row_number() OVER (PARTITION BY project_id, article_id, text ORDER BY moved, id) AS k FROM m) WHERE k = 1 OR text IS NULL")
+def merge_project_claims(t: Tables) -> DataFrame:
+    """Claims after every odd project became the one before it; claims without a text are never the same."""
+    from tessera.operators.consolidate import merge_children
+
+    claims = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_orderkey").alias("project_id"), (F.col("l_suppkey") % 3).alias("article_id"), F.when(F.col("l_linenumber") % 4 != 0, F.col("l_returnflag")).alias("text"))
+    mapping = t.orders.where("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") - 1).alias("root"))
+    return merge_children(claims, mapping, "project_id", ["project_id", "article_id", "text"], ["id"], nulls_distinct=True)
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
+def delete_by_ids(t: Tables) -> DataFrame:
+    return upsert.delete_keys(t.customer.select("c_custkey", "c_name"), t.orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+
+
+@query("SELECT project_id, source_type, source_ref FROM (SELECT o_orderkey AS project_id, 'article' AS source_type, o_custkey::VARCHAR AS source_ref FROM orders WHERE o_orderstatus = 'F' UNION SELECT o_orderkey, 'article', o_custkey::VARCHAR FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' AND o_custkey % 3 <> 0)")
+def backfill_sources(t: Tables) -> DataFrame:
+    """Rows from another table's column where it is not null, cast, if their key is new."""
+    rows = t.orders.select(F.col("o_orderkey").alias("project_id"), F.lit("article").alias("source_type"), F.col("o_custkey").cast("string").alias("source_ref"), "o_orderstatus", "o_orderdate", "o_custkey")
+    keys = ["project_id", "source_type", "source_ref"]
+    old = rows.where("o_orderstatus = 'F'").select(*keys).distinct()
+    new = rows.where("o_orderdate < timestamp'1998-01-01'").withColumn("source_ref", F.when(F.col("o_custkey") % 3 != 0, F.col("source_ref"))).where("source_ref is not null")
+    return upsert.insert_if_absent(old, new.select(*keys), keys, ["source_ref"])
+
+
+@query("SELECT o_orderkey FROM orders WHERE (o_orderkey % 4 = 0 OR o_orderkey % 6 = 0 OR o_orderkey % 10 / 10.0 < 0.80) AND o_orderkey % 5 <> 0")
+def open_mentions(t: Tables) -> DataFrame:
+    """Mentions that a sweep looks at: without an entity or confidence, or of a low one, and not corrected by hand."""
+    from tessera.operators.resolve import unresolved
+
+    k = F.col("o_orderkey")
+    rows = t.orders.select("o_orderkey", F.when(k % 4 != 0, k).alias("canonical_id"), F.when(k % 6 != 0, k % 10 / 10).alias("confidence"), (k % 5 == 0).alias("corrected"))
+    return rows.where(unresolved()).select("o_orderkey")

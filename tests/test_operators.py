@@ -53,7 +53,7 @@ def test_people_stay_in_their_firm(spark):
 
 def test_project_decisions(spark):
     rows = spark.createDataFrame([(1, 10, 0.97, 0.95), (1, 11, 0.5, 0.4), (2, 10, 0.97, 0.95), (2, 11, 0.96, 0.9), (3, 12, 1.0, 0.9), (4, 13, 0.5, 0.3)], "key long, candidate long, sim double, score double")
-    got = {r["key"]: r["decision"] for r in resolve.decide_projects(rows, "key", "candidate").collect()}
+    got = {r["key"]: r["decision"] for r in projects.decide(rows).collect()}
     assert got == {1: "auto", 2: "tiebreak", 3: "tiebreak", 4: "create"}
     one = spark.range(1)
     score = lambda p, c, y: one.select(resolve.project_score(F.lit(1.0), F.lit(p), F.lit(c), F.lit(y))).first()[0]
