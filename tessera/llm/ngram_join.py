@@ -18,9 +18,10 @@ links joins its sets already.
 
 Words are runs of characters other than ASCII white space, A-Z lower-cased.  Edge cases: a text with
 fewer words than a shingle has its whole sequence as its only shingle; without words, or null, it has
-none and is linked with nothing; an empty table gives an empty result; repeated rows count as documents
-of one id; rows with a null id are classed, and a class takes the least id that is not null; columns
-beside id and text are ignored.
+none and is linked with nothing; a very long text has all its shingles in one set, in the memory of one task; an empty table
+gives an empty result; repeated rows count as documents of one id; rows with a null id are classed, and a
+class takes the least id that is not null; of equal similarities none is preferred, as all links count;
+columns beside id and text are ignored.
 """
 
 from __future__ import annotations
@@ -121,7 +122,7 @@ def _signatures(words: int, percent: int, hot: np.ndarray, counts: np.ndarray):
                 sizes.append(len(s))
                 bitmaps.append(signature(s) if len(s) else b"")
                 prefixes.append(prefix(s, len(s) + (-percent * len(s)) // 100 + 1, hot, counts).tobytes() if len(s) else b"")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bitmaps, pa.binary()), pa.array(prefixes, pa.binary())], ["id", "sid", "n", "bits", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(hashes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bitmaps, pa.binary()), pa.array(prefixes, pa.binary())], ["id", "hash", "sid", "n", "bits", "prefix"])
 
     return run
 
@@ -298,10 +299,11 @@ def _sets(words: int, members: np.ndarray):
     return run
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document: id, n_shingles, component_id (the least id that links lead to)."""
+def _classed(docs: DataFrame, text: str, id_col: str, words: int, percent: int) -> DataFrame:
+    """A row for each document: id, hash of its text, n (shingles), class (a set's hash; of one component all have the same) and component (its least id)."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text).alias("text"))
-    rows = written(slim.mapInArrow(_signatures(words, percent, *frequent(slim.select("text"), words)), "id long, sid long, n int, bits binary, prefix binary"))
+    hashed = slim.withColumn("hash", F.xxhash64("text"))
+    rows = written(hashed.mapInArrow(_signatures(words, percent, *frequent(slim.select("text"), words)), "id long, hash long, sid long, n int, bits binary, prefix binary"))
     total = rows.agg(F.count("*").alias("rows"), F.sum(F.octet_length("prefix")).alias("bytes")).first()
     buckets = max(1, math.ceil((total["bytes"] or 0) / 8 / BUCKET_ENTRIES))
     full = rows.where("n > 0")
@@ -337,18 +339,31 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     linked = components(links)
 
     best = linked.join(classes.select(F.col("sid").alias("node"), "least"), "node").groupBy("root").agg(F.min("least").alias("component"))
-    named = linked.join(best, "root").select(F.col("node").alias("sid"), "component")
+    named = linked.join(best, "root").select(F.col("node").alias("sid"), F.col("root").alias("class"), "component")
     table = classes.select("sid", "least", "copies").join(named, "sid", "left").where("copies > 1 or component is not null")
-    table = written(table.select("sid", F.coalesce("component", "least").alias("component"), "copies"))
-    out = attach(rows.select("id", "sid", "n"), table, "sid", "copies", total["rows"])
-    return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component_id"))
+    table = written(table.select("sid", F.coalesce("class", "sid").alias("class"), F.coalesce("component", "least").alias("component"), "copies"))
+    out = attach(rows.select("id", "hash", "sid", "n"), table, "sid", "copies", total["rows"])
+    return out.select("id", "hash", "n", F.coalesce("class", "sid").alias("class"), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component"))
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per document: id, n_shingles, component_id (the least id that links lead to)."""
+    out = _classed(docs, text, id_col, words, percent)
+    return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents with one of each class: that of the least id, once.  Rows without an id stay."""
-    classes = near_duplicates(docs, text, id_col, words, percent)
-    stay = classes.where(F.col(id_col) == F.col("component_id")).select(id_col)
-    kept = docs.join(stay, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col])
+    """The documents with one of each class: that of the least id, of several texts under it the one of the least hash.
+
+    Rows of one id and text are one document, of one id and several texts several.  Rows without an id
+    stay, as do texts without a word.
+    """
+    rows = _classed(docs, text, id_col, words, percent).where("id is not null")
+    one = rows.where("n > 0").groupBy("class").agg(F.min(F.struct("id", "hash")).alias("d")).select("d.id", "d.hash")
+    stay = one.unionByName(rows.where("n = 0").select("id", "hash").distinct())
+    # packed, so that no column of the documents can clash with those used here
+    packed = docs.where(F.col(id_col).isNotNull()).select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_of(text)).alias("hash"))
+    kept = packed.join(stay, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"]).select("row.*")
     return kept.unionByName(docs.where(F.col(id_col).isNull()))
 
 

@@ -353,6 +353,17 @@ def test_one_of_each_class_stays(docs):
     assert sorted(i for i in ids if i is not None) == sorted(want) and ids.count(None) == 1 and kept.columns == docs.columns
 
 
+def test_one_id_with_several_texts(spark):
+    """No text is lost because another has its id; copies go whatever their ids."""
+    r = np.random.default_rng(31)
+    a, b, c = (sentence(r, 40) for _ in range(3))
+    table = spark.createDataFrame([(5, a, 1), (5, b, 2), (5, b, 2), (3, b + " x", 3), (7, c, 4), (7, c.upper(), 5), (8, "", 6), (8, None, 7), (None, a, 8)], "doc_id long, text string, class int")
+    kept = sorted((x["doc_id"], x["class"]) for x in ngram_join.keep_one(table).where("doc_id is not null").collect())
+    assert [k for k in kept if k[0] in (3, 5)] == [(3, 3), (5, 1)]
+    assert sum(k[0] == 7 for k in kept) == 1 and sum(k[0] == 8 for k in kept) == 1
+    assert ngram_join.keep_one(table).where("doc_id is null").count() == 1
+
+
 def test_shingles_match_a_plain_version():
     for t in [x for x in texts() if x is not None and len(x) < 10_000]:
         words = [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t)) if w]
