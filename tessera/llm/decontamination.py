@@ -17,7 +17,8 @@ replaced words as long as the common subsequence holds.
 
 Edge cases: null or empty texts are never contaminated; null or empty items match nothing; an empty
 benchmark or table gives an empty result (a filter then keeps all); items with equal texts are each
-reported; repeated rows are judged alike; columns beside id and text are ignored.
+reported, and of equal cosines the earlier passage is checked first; a very long text is searched whole, TAKEN passages at a time;
+repeated rows are judged alike; columns beside id and text are ignored.
 """
 
 from __future__ import annotations
@@ -283,19 +284,19 @@ def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.nda
                     if item.passes(*found[1:3]):
                         out.append((base + t, item.id, *found[:3]))
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array([o[0] for o in out], pa.int64())), pa.array([o[1] for o in out], pa.int64()), *(pa.array([o[k] for o in out], pa.float64()) for k in (2, 3, 4))],
-                ["doc_id", "item_id", "cosine", "cover", "answer_cover"],
+                [ids.take(at := pa.array([o[0] for o in out], pa.int64())), batch.column(2).take(at), pa.array([o[1] for o in out], pa.int64()), *(pa.array([o[k] for o in out], pa.float64()) for k in (2, 3, 4))],
+                ["doc_id", "hash", "item_id", "cosine", "cover", "answer_cover"],
             )
 
     return run
 
 
-def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", id_col: str = "doc_id", item_id: str = "item_id", cosine: float = COSINE) -> DataFrame:
-    """A row for each document and item found in it: doc_id, item_id, cosine, cover and answer_cover."""
+def _found(docs: DataFrame, items: DataFrame, text: str, id_col: str, item_id: str, cosine: float) -> DataFrame:
+    """A row for each document and item found in it: doc_id, hash (of the text), item_id, cosine, cover and answer_cover."""
     items = items.select(F.col(item_id).cast("long").alias("item_id"), text_of(text).alias("text"))
     idf, dims, basis = latent_space(items, inverse_frequencies(document_frequencies(docs, text)))
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    kind = "doc_id long, item_id long, cosine double, cover double, answer_cover double"
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text).alias("text"), F.xxhash64(text_of(text)).alias("hash"))
+    kind = "doc_id long, hash long, item_id long, cosine double, cover double, answer_cover double"
     out, block, held = None, [], 0
     # the stated queries: blocks of items against all documents
     for r in items.orderBy("item_id").toLocalIterator():
@@ -308,13 +309,20 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", id_col:
     if block or out is None:
         part = slim.mapInArrow(_search(block, idf, dims, basis, cosine), kind) if block else slim.sparkSession.createDataFrame([], kind)
         out = part if out is None else out.unionByName(part)
-    return out.withColumnRenamed("doc_id", id_col)
+    return out
+
+
+def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", id_col: str = "doc_id", item_id: str = "item_id", cosine: float = COSINE) -> DataFrame:
+    """A row for each document and item found in it: its id, item_id, cosine, cover and answer_cover."""
+    return _found(docs, items, text, id_col, item_id, cosine).drop("hash").withColumnRenamed("doc_id", id_col)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The documents that no item was found in, with all their columns; rows without an id stay."""
-    found = written(contaminated(docs, items, text, id_col).select(id_col).distinct())
-    return docs.join(found, id_col, "left_anti").select(*docs.columns)
+def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", id_col: str = "doc_id", item_id: str = "item_id", cosine: float = COSINE) -> DataFrame:
+    """The documents that no item was found in, with all their columns.  Rows of one id are judged each by its own text; rows without an id too."""
+    found = written(_found(docs, items, text, id_col, item_id, cosine).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct())
+    # packed, so that no column of the documents can clash with those used here
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_of(text)).alias("hash"))
+    return packed.join(found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), "left_anti").select("row.*")
 
 
 def op6_latent_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ that meets one digest with two of these raises rather than drop a document.
 
 Edge cases: a null text counts as empty; an empty table gives an empty result; repeated rows (equal id
 and text) are copies of each other and all carry the id that stays; a null id stays only if no copy has
-an id; columns beside id and text are ignored.
+an id; ties cannot occur, as the id that stays is the largest; a very long text is read whole and only its digest is sent;
+columns beside id and text are ignored.
 """
 
 from __future__ import annotations

@@ -43,7 +43,7 @@ WORDS, PERCENT = 5, 80
 #: Index entries of a bucket on average at most; groups up to PAIRED sets give pairs; sets of a block.
 BUCKET_ENTRIES, PAIRED, BLOCK = 1_000_000, 32, 2048
 #: Frequent shingles: sets of a task that must have one to be counted, of all; how many at most; shingles counted at once.
-SEEN, HOT, FREQUENT, CHUNK = 4, 64, 1 << 20, 4 << 20
+SEEN, HOT, FREQUENT, CHUNK = 4, 64, 1 << 20, 2 << 20
 #: Rows and bytes of sets that are traversed in one call on average, and such calls at least.
 SLOT_ROWS, SLOT_BYTES, SLOTS = 500, 4 << 20, 64
 

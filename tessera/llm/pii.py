@@ -13,8 +13,9 @@ A kind has at most 3**5 vote patterns and 2**7 feature patterns, whatever the in
 over one small array inside a SQL expression; the counts themselves come from all documents.
 
 Edge cases: null or empty texts have no span; a kind without candidates has no model and adds nothing; a
-looser span that meets a base span is dropped; an empty table gives an empty result; repeated rows are
-scanned alike; columns beside id and text are ignored.  Offsets are in code points, ends exclusive.
+looser span that meets a base span is dropped; equal spans of two kinds are both given; very long texts are
+scanned whole; an empty table gives an empty result; repeated rows are scanned alike; columns beside id and
+text are ignored.  Offsets are in code points, ends exclusive.
 
 The patterns give the matches of the plain forms, leftmost and non-overlapping, but never retry inside a
 run that has failed: quantifiers are possessive and a match starts where its run of characters starts,

@@ -9,7 +9,7 @@ all distinct texts, where the values of credential contexts count for nothing.
 the corpus makes it: only the parts of the values are joined to it.
 
 Edge cases: null or empty texts have no span; ties in the dictionary's order are broken by the word; a
-repeated row is scanned like any other; an empty table gives an empty result; columns beside id and text
+repeated row is scanned like any other; very long texts are scanned whole, and a very long value has its price like any other; an empty table gives an empty result; columns beside id and text
 are ignored.  Offsets are in code points, ends exclusive.
 """
 

@@ -14,7 +14,8 @@ lie as near as they can to equal sizes.
 
 Edge cases: a null text counts as empty (size 16 with the default overhead); an empty table gives an
 empty result; repeated rows share a shard and take slots of their own; with fewer groups than shards
-some shards stay empty; extra columns are kept, and a column already named ``shard``, ``slot`` or
+some shards stay empty; equal texts are never parted, of equally good cuts the one nearer to equal sizes is taken; a very
+long text is one row of its size, never cut; extra columns are kept, and a column already named ``shard``, ``slot`` or
 ``size`` is replaced.
 """
 

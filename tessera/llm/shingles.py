@@ -14,7 +14,7 @@ import numpy as np
 _PLAIN = bytes(32 if b in (9, 10, 11, 12, 13, 32) else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 #: Bytes handled at once; a longer text is handled alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

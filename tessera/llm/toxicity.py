@@ -11,7 +11,7 @@ is scored, over its whole text.  Language, source and id are no inputs.
 
 Edge cases: null or empty texts, and texts without a word, have no sentence and score 0; with no labels
 or only one kind the score is the prior's; labels that are null or of unknown documents are passed over;
-repeated rows are scored alike; an empty table gives an empty result; columns beside id and text are
+a very long text is scored by all its sentences; sentences of equal score are all located; repeated rows are scored alike; an empty table gives an empty result; columns beside id and text are
 ignored.
 """
 

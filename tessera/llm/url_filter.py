@@ -11,7 +11,7 @@ threshold is the one with the fewest errors on the fold kept out.
 
 Edge cases: a null URL, or one without ``://``, has an empty host and path, scores 0 and is allowed by the
 model; where there are no accepted or no rejected URLs the model allows all; the smaller of equally good
-thresholds is taken; repeated rows are judged alike; an empty table gives an empty result; columns beside
+thresholds is taken; a very long URL is scored by all its bytes; repeated rows are judged alike; an empty table gives an empty result; columns beside
 id and url are ignored.
 """
 

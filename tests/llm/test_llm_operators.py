@@ -484,6 +484,9 @@ def test_very_long_text_is_searched_whole(spark, monkeypatch):
     table = spark.createDataFrame([(1, long + " " + item), (2, item + " " + long), (3, long), (4, None)], "doc_id long, text string")
     got = decontamination.contaminated(table, spark.createDataFrame([(7, item), (8, item), (9, None), (10, " ")], "item_id long, text string")).collect()
     assert sorted((x["doc_id"], x["item_id"]) for x in got) == [(1, 7), (1, 8), (2, 7), (2, 8)]
+    some = spark.createDataFrame([(5, item, 1), (5, "a clean text", 2), (None, item, 3), (None, "clean", 4), (6, None, 5)], "doc_id long, text string, id int")
+    kept = decontamination.drop_contaminated(some, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert kept.columns == some.columns and sorted(x["id"] for x in kept.collect()) == [2, 4, 5]
 
 
 def test_common_subsequence():
