@@ -21,3 +21,10 @@ def planned_types(firms: DataFrame, roles: DataFrame, only_unknown: bool = False
     new = firm_types(roles).select("firm_id", F.col("firm_type").alias("new_type"), F.col("firm_type_aux").alias("new_aux"))
     same = F.col("firm_type").eqNullSafe(F.col("new_type")) & F.coalesce("firm_type_aux", F.array().cast("array<string>")).eqNullSafe(F.col("new_aux"))
     return firms.join(new, firms.id == new.firm_id).where(~same).select("id", "firm_type", "new_type", "firm_type_aux", "new_aux")
+
+
+def apply_types(firms: DataFrame, planned: DataFrame) -> DataFrame:
+    """Firms with the planned types."""
+    new = planned.select("id", F.col("new_type").alias("_type"), F.col("new_aux").alias("_aux"))
+    out = firms.join(new, "id", "left")
+    return out.withColumn("firm_type_aux", F.when(F.col("_type").isNotNull(), F.col("_aux")).otherwise(F.col("firm_type_aux"))).withColumn("firm_type", F.coalesce("_type", "firm_type")).select(*firms.columns)

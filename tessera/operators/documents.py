@@ -94,3 +94,30 @@ def quote_text() -> Column:
 def firm_text() -> Column:
     aliases = F.array_join("aliases", ", ")
     return context("firm", "name", _with("Type: ", "firm_type", F.col("firm_type") != "unknown"), F.when(aliases != "", F.concat(F.lit("Also known as: "), aliases)), _with("Roles: ", "roles_played"))
+
+
+def _tops(rows: DataFrame, key: str, n: int, name: str) -> DataFrame:
+    return joined_longest(rows.where(F.col(key).isNotNull() & F.col("text").isNotNull()), key, "text", "id", n).select(F.col(key).alias("id"), F.col("context").alias(name))
+
+
+def texts_of(table: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """id, _document: what a row of projects, articles, claims, quotes or firms says, with what hangs on it; articles without information have none."""
+    named = tables["projects"].select(F.col("id").alias("project_id"), F.col("name").alias("project_name"))
+    if table == "claims":
+        return tables["claims"].join(named, "project_id", "left").select("id", claim_text().alias("_document"))
+    if table == "quotes":
+        return tables["quotes"].join(named, "project_id", "left").select("id", quote_text().alias("_document"))
+    firm_roles = tables["roles"].join(tables["firms"].select(F.col("id").alias("firm_id"), F.col("name").alias("firm")), "firm_id")
+    if table == "firms":
+        played = tables["roles"].where("role is not null").groupBy(F.col("firm_id").alias("id")).agg(F.array_join(F.sort_array(F.collect_set("role")), ", ").alias("roles_played"))
+        return tables["firms"].join(played, "id", "left").select("id", firm_text().alias("_document"))
+    if table == "projects":
+        said = tables["article_projects"].join(tables["articles"].select(F.col("id").alias("article_id"), "summary"), "article_id").where("summary is not null")
+        said = said.groupBy(F.col("project_id").alias("id")).agg(F.sort_array(F.collect_list(F.struct("article_id", "summary"))).alias("s")).select("id", F.array_join(F.transform("s", lambda x: x["summary"]), " | ").alias("article_summaries"))
+        firms = firm_roles.groupBy(F.col("project_id").alias("id")).agg(F.array_join(F.sort_array(F.collect_set("firm")), ", ").alias("firms"))
+        out = tables["projects"].join(said, "id", "left").join(_tops(tables["claims"], "project_id", 8, "top_claims"), "id", "left").join(_tops(tables["quotes"], "project_id", 4, "top_quotes"), "id", "left").join(firms, "id", "left")
+        return out.select("id", project_text().alias("_document"))
+    kept = tables["articles"].where(~is_noise("article_type", "summary"))
+    names = tables["article_projects"].join(named, "project_id").where("project_name is not null").groupBy(F.col("article_id").alias("id")).agg(F.array_join(F.sort_array(F.collect_set("project_name")), ", ").alias("project_names"))
+    out = kept.join(names, "id", "left").join(_tops(tables["claims"], "article_id", 5, "top_claims"), "id", "left").join(_tops(tables["quotes"], "article_id", 4, "top_quotes"), "id", "left")
+    return out.select("id", article_text().alias("_document"))
