@@ -143,7 +143,11 @@ def workbook(store: Store, a: argparse.Namespace) -> None:
     roles = store.read("roles").join(store.read("firms").select(F.col("id").alias("firm_id"), F.col("name").alias("firm")), "firm_id")
     team = roles.join(projects.select(F.col("id").alias("project_id"), F.col("name").alias("project")), "project_id").select("project_id", "project", "team", "role", "firm")
     facts = projects.select("id", "name", "typology", "location", "city", "state", "cost", "square_footage", "stories_levels", "delivery_method", "year_completed", "status", "source")
-    sinks.workbook_tables(facts, team, a.output)
+    if a.output.endswith(".xlsx"):
+        with open(a.output, "wb") as out:
+            sinks.workbook({"Projects": facts, "Team": team}, out)
+    else:
+        sinks.workbook_tables(facts, team, a.output)
     _show(sinks.column_widths(facts))
 
 

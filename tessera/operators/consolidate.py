@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import strip_all_parens, strip_last_paren
 from tessera.operators.graph import merged_roots, repoint
 from tessera.operators.similarity import similar_names
-from tessera.operators.upsert import delete_keys, first_by_key
+from tessera.operators.upsert import delete_keys, first_by_key, some_null
 from tessera.storage import written
 
 
@@ -45,7 +45,14 @@ def redundant_roles(roles: DataFrame) -> DataFrame:
 
 def merge_children(rows: DataFrame, mapping: DataFrame, column: str, keys: list[str], order: list[str], nulls_distinct: bool = False) -> DataFrame:
     """Child rows led to the roots, without those that collide there: a root's own row stays, else the first by ``order``."""
-    return first_by_key(repoint(rows, mapping, column), keys, ["_moved", *order], nulls_distinct).drop("_moved")
+    moved = repoint(rows, mapping, column)
+    if len(order) != 1 or set(rows.columns) != {*keys, *order}:
+        return first_by_key(moved, keys, ["_moved", *order], nulls_distinct).drop("_moved")
+    # the order is all that rows have beside their key: two least values, aggregated in each task first
+    keyed = moved.where(~some_null(keys)) if nulls_distinct else moved
+    own = F.min(F.when(~F.col("_moved"), F.col(order[0])))
+    least = keyed.groupBy(*keys).agg(F.when(F.min("_moved"), F.min(order[0])).otherwise(own).alias(order[0])).select(*rows.columns)
+    return least.unionByName(moved.where(some_null(keys)).select(*rows.columns)) if nulls_distinct else least
 
 
 def merge_firms(tables: dict[str, DataFrame], mapping: DataFrame) -> dict[str, DataFrame]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,3 +22,24 @@ def harvest(pages: DataFrame, base: str = "", suffix: str = ".pdf", host: str |
 def missing(links: DataFrame, have: DataFrame) -> DataFrame:
     """Links whose file is not there yet."""
     return links.join(have.select("file_name"), "file_name", "left_anti")
+
+
+def fetched(links: DataFrame, fetch: Callable[[str], bytes], have: DataFrame | None = None, delay: float = 0.0) -> DataFrame:
+    """file_name, url, content, error of each link, but for files that are there already (``have``); a task waits ``delay`` seconds after each."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import time
+
+        for rows in parts:
+            out = []
+            for name, url in zip(rows["file_name"], rows["url"], strict=True):
+                try:
+                    out.append((name, url, fetch(url), None))
+                except Exception as e:  # noqa: BLE001  one link's failure stops no other
+                    out.append((name, url, None, str(e)))
+                if delay:
+                    time.sleep(delay)
+            yield pd.DataFrame(out, columns=["file_name", "url", "content", "error"])
+
+    todo = links if have is None else missing(links, have)
+    return todo.select("file_name", "url").mapInPandas(run, "file_name string, url string, content binary, error string")

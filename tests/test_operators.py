@@ -406,6 +406,32 @@ def test_sources(spark, tmp_path):
     assert path.endswith("v000003") and spark.read.parquet(path).count() == 1
 
 
+def test_workbook(spark):
+    import io
+    import zipfile
+    from xml.etree import ElementTree
+
+    held = io.BytesIO()
+    sinks.workbook({"Projects": spark.createDataFrame([("a <b>&c", 5, None), ("\x01é", 7, "x" * 90)], "name string, n long, long_text string"), "Team": spark.createDataFrame([], "firm string")}, held)
+    book = zipfile.ZipFile(held)
+    for name in book.namelist():
+        ElementTree.fromstring(book.read(name))
+    sheet = book.read("xl/worksheets/sheet1.xml").decode()
+    assert "a &lt;b&gt;&amp;c" in sheet and "<v>7</v>" in sheet and 'width="60"' in sheet and sheet.count("<row>") == 3 and book.read("xl/worksheets/sheet2.xml").decode().count("<row>") == 1
+
+
+def test_fetching(spark):
+    rows = spark.createDataFrame([("u/a", "a"), ("u/b", "b"), ("u/c", "c")], "url string, file_name string")
+
+    def fetch(url):
+        if url.endswith("b"):
+            raise OSError("gone")
+        return url.encode()
+
+    got = {r["file_name"]: (r["content"] and bytes(r["content"]), r["error"]) for r in links.fetched(rows, fetch, spark.createDataFrame([("c",)], "file_name string")).collect()}
+    assert got == {"a": (b"u/a", None), "b": (None, "gone")}
+
+
 def test_table_contracts(spark):
     for name in tables.SCHEMAS:
         tables.assert_contract(tables.empty(spark, name), name)
