@@ -36,7 +36,13 @@ REGISTRY = (
     Probe("quotes", 3, "List up to 12 verbatim quotes of this article as JSON: text, speaker's name, title and firm, and page.", QUOTES),
 )
 #: Kinds of articles that no probe is run on.
-NOT_PROBED = ("advertisement", "column", "front_matter", "other")
+NOT_PROBED = ("advertisement", "column", "other")
+#: The words that answers are asked to keep to.
+TYPOLOGIES = ("K-12", "higher_ed", "healthcare", "industrial", "multifamily", "mixed_use", "office", "aviation", "hospitality", "civic", "religious", "recreation", "infrastructure", "senior_living", "retail", "other")
+CLAIM_TYPES = ("stat", "milestone", "challenge", "award", "first", "other")
+STATUSES = ("completed", "under_construction", "announced")
+#: A probe for columns, outside of the registry until columns are probed.
+COLUMN_PROBE = Probe("column", 1, "Summarise this column in two or three sentences as JSON, with its kind, themes, and the firms, people and projects that it names.", "struct<summary: string, column_type: string, themes: array<string>, firms: array<string>, people: array<string>, projects: array<string>>")
 #: Most entries that a probe asks for.
 MOST = {"claims": 15, "quotes": 12}
 
@@ -200,6 +206,12 @@ def unwrapped(output: Column | str, items: str, names: tuple[str, ...] = ("segme
     return F.coalesce(*(F.from_json(c, f"struct<{n}: {items}>")[n] for n in names), F.from_json(c, items))
 
 
+def in_vocabulary(value: Column | str, words: tuple[str, ...]) -> Column:
+    """Whether an answer keeps to the words it was asked for; null is allowed.  A check beside it, which changes nothing."""
+    c = F.col(value) if isinstance(value, str) else value
+    return c.isNull() | c.isin(*words)
+
+
 def team_roles(panel: Column) -> Column:
     """(firm, role, team, scope) of the owner and both teams; entries without a role or firm are left out."""
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""

@@ -251,6 +251,8 @@ def test_truncated_answers_are_read(spark):
     out = probes.materialize(spark.createDataFrame(rows, "article_id long, probe string, output string"))
     assert [r["text"] for r in out["claims"].orderBy("pos").collect()] == ["whole", "cut of"]
     assert [tuple(r) for r in out["articles"].collect()] == [(4, "s", "Al")]
+    words = spark.createDataFrame([("K-12",), ("barn",), (None,)], "t string").select(probes.in_vocabulary("t", probes.TYPOLOGIES).alias("ok"))
+    assert [r["ok"] for r in words.collect()] == [True, False, True]
     assert spark.range(1).select(probes.within_caps("claims", F.array(*map(F.lit, range(16))))).first()[0] is False
 
 
