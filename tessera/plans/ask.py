@@ -16,14 +16,19 @@ _FENCE = re.compile(r"^```(?:sql)?\s*|\s*```$", re.IGNORECASE)
 def ask(spark: SparkSession, sql: str, tables: dict[str, DataFrame], limit: int | None = None) -> DataFrame:
     """The rows of one SELECT over the tables given.  Raises ValueError for anything else.
 
-    Spark's parser takes one statement only; INSERT after WITH is turned down by its plan, which must be no command.
+    Spark's parser takes one statement only; INSERT after WITH is turned down by its plan, no node of which may be a command or statement.
     """
     text = _FENCE.sub("", sql.strip()).rstrip("; \n")
     if not _READS.match(text):
         raise ValueError("only SELECT or WITH … SELECT is run")
-    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
-    if re.search(r"^'?Insert|^'?Create|^'?Drop|InsertInto", parsed):
-        raise ValueError("only SELECT or WITH … SELECT is run")
+    logical = "org.apache.spark.sql.catalyst.plans.logical"
+    kinds = [spark._jvm.java.lang.Class.forName(f"{logical}.{name}") for name in ("Command", "ParsedStatement")]
+    nodes = [spark._jsparkSession.sessionState().sqlParser().parsePlan(text)]
+    while nodes:
+        node = nodes.pop()
+        if any(kind.isInstance(node) for kind in kinds):
+            raise ValueError("only SELECT or WITH … SELECT is run")
+        nodes += [node.children().apply(k) for k in range(node.children().length())]
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     out = spark.sql(text)

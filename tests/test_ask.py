@@ -7,6 +7,7 @@ from tessera.plans.ask import alerts, ask, comparable
 def test_only_reads(spark):
     t = {"firms": spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")}
     assert [r["n"] for r in ask(spark, "```sql\nSELECT count(*) AS n FROM firms;\n```", t).collect()] == [2]
+    assert [r["t"] for r in ask(spark, "SELECT 'InsertInto Create' AS t FROM firms WHERE name <> '; Drop'", t, limit=1).collect()] == ["InsertInto Create"]
     assert ask(spark, "with x as (select * from firms) select * from x", t, limit=1).count() == 1
     for bad in ("DROP VIEW firms", "INSERT INTO firms VALUES (1, 'x')", "WITH x AS (SELECT 1 AS id, 'a' AS name) INSERT INTO firms SELECT * FROM x", "", "SELECTION"):
         with pytest.raises(ValueError, match="only SELECT"):
