@@ -62,8 +62,10 @@ def resolve_projects(candidates: DataFrame, projects: DataFrame, sources: DataFr
     """
     sourced = (F.coalesce("source_type", F.lit("")) != "") & (F.coalesce(F.col("source_ref").cast("string"), F.lit("")) != "")
     known = sources.groupBy("source_type", "source_ref").agg(F.min_by(F.struct("project_id", F.col("confidence").cast("double").alias("confidence")), "project_id").alias("_known"))
-    rows = candidates.withColumn("_head", F.when(sourced, F.min("id").over(Window.partitionBy("source_type", "source_ref"))).otherwise(F.col("id")))
-    rows = written(rows.join(known, ["source_type", "source_ref"], "left"))
+    keys = ["source_type", "source_ref"]
+    heads = candidates.where(sourced).groupBy(*keys).agg(F.min("id").alias("_first"))
+    rows = candidates.join(heads, keys, "left").withColumn("_head", F.coalesce("_first", "id")).drop("_first")
+    rows = written(rows.join(known, keys, "left"))
     new = rows.where("_known is null and id = _head")
     scored = score_candidates(find_candidates(new, projects), new, projects)
     decided = written(decide(scored))
