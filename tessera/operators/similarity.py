@@ -32,11 +32,8 @@ def _in_scope(df: DataFrame, scope: list[str]) -> Column:
     return F.concat_ws("\x1f", *(F.coalesce(F.concat(F.lit("v"), F.col(s).cast("string")), F.lit("n")) for s in scope)) if scope else F.lit("")
 
 
-def similar_names(left: DataFrame, right: DataFrame, floor: float, same: bool = False, scope: list[str] = ()) -> DataFrame:
-    """Pairs of names whose similarity is at least ``floor``, within an equal scope (null equals null).
-
-    left: id, name; right: id, name, and the scope's columns in both.  Returns left_id, right_id, sim;
-    with ``same`` the tables are one and left_id < right_id.
+def _pairs(left: DataFrame, right: DataFrame, floor: float, same: bool, scope: list[str]) -> DataFrame:
+    """s, left_name, right_name, sim: the pairs of names whose similarity is at least ``floor``.
 
     Distinct names are compared, not rows.  A name's trigrams are put in one order for all, rarest first;
     two sets at the floor share one of the n - ceil(floor n) + 1 first of each, so only these are joined
@@ -65,13 +62,30 @@ def similar_names(left: DataFrame, right: DataFrame, floor: float, same: bool =
     on = (F.col("x.s") == F.col("y.s")) & (F.col("x.g") == F.col("y.g")) & (F.col("x.salt") == F.col("y.salt"))
     pairs = x.join(y, on & sizes & ((F.col("x.n") + F.col("y.n") - most) * floor <= most + 1e-9) & first)
     pairs = pairs.select(F.col("x.s").alias("s"), F.col("x.name").alias("left_name"), F.col("y.name").alias("right_name"), similarity(F.col("x.grams"), F.col("y.grams")).alias("sim")).where(F.col("sim") >= floor)
-    ids = lambda df, side: df.select(_in_scope(df, scope).alias("s"), F.col("id").alias(f"{side}_id"), F.col("name").alias(f"{side}_name"))
-    out = pairs.join(ids(left, "left"), ["s", "left_name"]).join(ids(right, "right"), ["s", "right_name"])
+    return pairs
+
+
+def _ids(df: DataFrame, side: str, scope: list[str]) -> DataFrame:
+    return df.select(_in_scope(df, scope).alias("s"), F.col("id").alias(f"{side}_id"), F.col("name").alias(f"{side}_name"))
+
+
+def similar_names(left: DataFrame, right: DataFrame, floor: float, same: bool = False, scope: list[str] = ()) -> DataFrame:
+    """Pairs of names whose similarity is at least ``floor``, within an equal scope (null equals null).
+
+    left: id, name; right: id, name, and the scope's columns in both.  Returns left_id, right_id, sim;
+    with ``same`` the tables are one and left_id < right_id.
+    """
+    out = _pairs(left, right, floor, same, scope).join(_ids(left, "left", scope), ["s", "left_name"]).join(_ids(right, "right", scope), ["s", "right_name"])
     out = out.where("left_id < right_id") if same else out
     return out.select("left_id", "right_id", "sim")
 
 
 def top_similar(probes: DataFrame, names: DataFrame, k: int, floor: float = 0.3, scope: list[str] = ()) -> DataFrame:
-    """The k names most similar to each probe: left_id, right_id, sim, rank.  Ties go to the smaller id."""
-    order = Window.partitionBy("left_id").orderBy(F.desc("sim"), "right_id")
-    return similar_names(probes, names, floor, scope=scope).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    """The k names most similar to each probe: left_id, right_id, sim, rank.  Ties go to the smaller id.
+
+    Probes of one name have the same rank list, so it is made once a name.
+    """
+    order = Window.partitionBy("s", "left_name").orderBy(F.desc("sim"), "right_id")
+    near = _pairs(probes, names, floor, False, scope).join(_ids(names, "right", scope), ["s", "right_name"])
+    best = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.join(_ids(probes, "left", scope), ["s", "left_name"]).select("left_id", "right_id", "sim", "rank")
