@@ -127,14 +127,15 @@ def _signatures(words: int, percent: int, hot: np.ndarray, counts: np.ndarray):
     return run
 
 
-_CELLS = ["bucket", "low", "high", "place", "sids", "sizes"]
+_CELLS = ["bucket", "low", "high", "place", "sids", "sizes", "last_low", "last_high"]
 
 
 def _index(buckets: int):
     """Batches of (sid, n, prefix) to one row a bucket of the shingles' hashes, with the entries as bytes.
 
-    An entry is the low 40 bits of a shingle and the place of its set among those of the row.  Shingles
-    that agree in these bits and the bucket only make candidates of sets that the bitmaps then exclude.
+    An entry is the low 40 bits of a shingle, the place of its set among those of the row, and the low 40
+    bits of the shingle before it in the set's prefix (0: none).  Shingles that agree in these bits and the
+    bucket only make candidates of sets that the bitmaps then exclude.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +147,10 @@ def _index(buckets: int):
             blobs = batch.column(2)
             runs = [np.frombuffer(blobs[int(k)].as_py(), np.uint64) for k in first]
             tokens = np.concatenate(runs)
-            owner = np.repeat(np.arange(len(sids), dtype=np.int32), [len(r) for r in runs])
+            lengths = [len(r) for r in runs]
+            owner = np.repeat(np.arange(len(sids), dtype=np.int32), lengths)
+            last = np.concatenate((tokens[:1], tokens[:-1]))
+            last[np.cumsum(lengths) - lengths] = 0
             place = (tokens >> np.uint64(40)).astype(np.int64) * buckets >> 24
             order = np.argsort(place, kind="stable")
             found, start = np.unique(place[order], return_index=True)
@@ -155,34 +159,46 @@ def _index(buckets: int):
             for p in parts if len(found) else []:
                 named, local = np.unique(owner[p], return_inverse=True)
                 low = tokens[p]
-                cells.append((low.astype(np.uint32).tobytes(), (low >> np.uint64(32)).astype(np.uint8).tobytes(), local.astype(np.int32 if len(named) > 65535 else np.uint16).tobytes(), sids[named].tobytes(), n[named].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *(pa.array([c[k] for c in cells], pa.binary()) for k in range(5))], _CELLS)
+                cells.append((low.astype(np.uint32).tobytes(), (low >> np.uint64(32)).astype(np.uint8).tobytes(), local.astype(np.int32 if len(named) > 65535 else np.uint16).tobytes(), sids[named].tobytes(), n[named].tobytes(), last[p].astype(np.uint32).tobytes(), (last[p] >> np.uint64(32)).astype(np.uint8).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *(pa.array([c[k] for c in cells], pa.binary()) for k in range(7))], _CELLS)
 
     return run
 
 
-def _entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A bucket's entries: shingle, set and its size."""
-    out = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32))]
-    for low, high, place, sids, sizes in zip(*(table[c].to_pylist() for c in _CELLS[1:]), strict=True):
-        tokens = np.frombuffer(low, np.uint32) | np.frombuffer(high, np.uint8).astype(np.uint64) << np.uint64(32)
+def _joined40(low: bytes, high: bytes) -> np.ndarray:
+    return np.frombuffer(low, np.uint32) | np.frombuffer(high, np.uint8).astype(np.uint64) << np.uint64(32)
+
+
+def _entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A bucket's entries: shingle, set, its size, and the shingle before in the set's prefix."""
+    out = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint64))]
+    for low, high, place, sids, sizes, last_low, last_high in zip(*(table[c].to_pylist() for c in _CELLS[1:]), strict=True):
+        tokens = _joined40(low, high)
         at = np.frombuffer(place, np.uint16 if len(place) == 2 * len(tokens) else np.int32)
-        out.append((tokens, np.frombuffer(sids, np.int64)[at], np.frombuffer(sizes, np.int32)[at]))
+        out.append((tokens, np.frombuffer(sids, np.int64)[at], np.frombuffer(sizes, np.int32)[at], _joined40(last_low, last_high)))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def _groups(percent: int):
-    """A bucket of the index to pairs of sets (a, b; small groups) and to blocks of sets to traverse (block, side, a; large ones)."""
+    """A bucket of the index to pairs of sets (a, b; small groups) and to blocks of sets to traverse (block, side, a; large ones).
+
+    Two sets of a group whose shingle before it is one and the same are in that shingle's group too, so
+    they have met there or earlier: only sets with different ones, or none, meet here.  So the near copies
+    of one text, which share nearly all of their prefixes, do not meet once for every shingle.
+    """
     fields = [("block", pa.int64()), ("side", pa.int32()), ("a", pa.int64()), ("b", pa.int64())]
 
+    def cut(at: np.ndarray) -> list[np.ndarray]:
+        return [at[k : k + BLOCK] for k in range(0, len(at), BLOCK)]
+
     def run(table: pa.Table) -> pa.Table:
-        tokens, sids, sizes = _entries(table)
+        tokens, sids, sizes, last = _entries(table)
         bucket = int(table["bucket"][0].as_py())
         order = np.lexsort((sids, sizes, tokens))
-        tokens, sids, sizes = tokens[order], sids[order], sizes[order]
+        tokens, sids, sizes, last = tokens[order], sids[order], sizes[order], last[order]
         new = np.ones(len(tokens), bool)
         new[1:] = (tokens[1:] != tokens[:-1]) | (sids[1:] != sids[:-1])  # a set in several batches counts once
-        tokens, sids, sizes = tokens[new], sids[new], sizes[new]
+        tokens, sids, sizes, last = tokens[new], sids[new], sizes[new], last[new]
         starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else np.zeros(0, np.int64)
         counts = np.diff(np.concatenate((starts, [len(tokens)])))
         pairs = [np.zeros((0, 2), np.int64)]
@@ -190,23 +206,33 @@ def _groups(percent: int):
             at = starts[counts == m]
             for i in range(m):
                 for j in range(i + 1, m):
-                    near = 100 * sizes[at + i].astype(np.int64) >= percent * sizes[at + j]
+                    near = (100 * sizes[at + i].astype(np.int64) >= percent * sizes[at + j]) & ((last[at + i] != last[at + j]) | (last[at + i] == 0))
                     x, y = sids[at[near] + i], sids[at[near] + j]
                     pairs.append(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1))
         pairs = np.unique(np.concatenate(pairs), axis=0)
         blocks, sides, members = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+
+        def meet(token: int, key: int, parts: list[np.ndarray]) -> None:
+            name = int(np.bitwise_xor(*mix(np.array([bucket << 40 | token, ~key & (1 << 64) - 1], np.uint64))).view(np.int64))
+            for side, part in enumerate(parts):
+                blocks.append(np.full(len(part), name))
+                sides.append(np.full(len(part), side, np.int32))
+                members.append(sids[part])
+
         for s, m in zip(starts[counts > PAIRED], counts[counts > PAIRED], strict=True):
-            edges = [*range(s, s + m, BLOCK), s + m]
-            cuts = list(zip(edges, edges[1:], strict=False))
-            for i, (a, b) in enumerate(cuts):
-                for j, (c, d) in enumerate(cuts[i:], i):
-                    if 100 * int(sizes[b - 1]) < percent * int(sizes[c]):
+            at, token = np.arange(s, s + m), int(tokens[s])
+            before, often = np.unique(last[s : s + m], return_counts=True)
+            most = before[np.where(before == 0, 0, often).argmax()]
+            met = (last[s : s + m] == most) & (most != 0)
+            rest, old = cut(at[~met]), cut(at[met])
+            for i, x in enumerate(rest):
+                for j, y in enumerate(rest[i:], i):
+                    if 100 * int(sizes[x[-1]]) < percent * int(sizes[y[0]]):
                         break
-                    key = int(np.bitwise_xor(*mix(np.array([bucket << 40 | int(tokens[s]), ~(i << 32 | j) & (1 << 64) - 1], np.uint64))).view(np.int64))
-                    for side, (e, f) in enumerate([(a, b)] if i == j else [(a, b), (c, d)]):
-                        blocks.append(np.full(f - e, key))
-                        sides.append(np.full(f - e, side, np.int32))
-                        members.append(sids[e:f])
+                    meet(token, i << 31 | j, [x] if i == j else [x, y])
+                for j, y in enumerate(old):
+                    if 100 * int(sizes[x[-1]]) >= percent * int(sizes[y[0]]) and 100 * int(sizes[y[-1]]) >= percent * int(sizes[x[0]]):
+                        meet(token, 1 << 62 | i << 31 | j, [x, y])
         blocks, sides, members = (np.concatenate(x) for x in (blocks, sides, members))
         k = len(pairs)
         columns = [
@@ -309,7 +335,7 @@ def _classed(docs: DataFrame, text: str, id_col: str, words: int, percent: int)
     full = rows.where("n > 0")
     classes = written(full.groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("id").alias("least"), F.count("*").alias("copies")))
 
-    index = full.select("sid", "n", "prefix").mapInArrow(_index(buckets), "bucket int, low binary, high binary, place binary, sids binary, sizes binary")
+    index = full.select("sid", "n", "prefix").mapInArrow(_index(buckets), "bucket int, low binary, high binary, place binary, sids binary, sizes binary, last_low binary, last_high binary")
     found = written(index.groupBy("bucket").applyInArrow(_groups(percent), "block long, side int, a long, b long"))
     bits = classes.select("sid", "n", "bits")
     one, two = (bits.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")

@@ -346,6 +346,29 @@ def test_large_group_of_near_copies_and_a_common_passage(spark, monkeypatch):
     assert sorted(got) == sorted(classes_of(made))
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_groups_of_every_kind_lose_no_link(spark, monkeypatch, seed):
+    """Chains of edits, shared passages and frequent shingles, with groups cut small: as by all pairs."""
+    for name, value in (("BLOCK", 6), ("PAIRED", 3), ("SEEN", 2), ("HOT", 4)):
+        monkeypatch.setattr(ngram_join, name, value)
+    r = np.random.default_rng(seed)
+    word = lambda: f"w{r.integers(400)}"
+    common, made = [word() for _ in range(30)], []
+    for _ in range(6):
+        text = [word() for _ in range(int(r.integers(8, 60)))]
+        if r.random() < 0.5:
+            text = text[: len(text) // 3] + common
+        for _ in range(int(r.integers(2, 25))):
+            made.append(" ".join(text))
+            source = text if r.random() < 0.6 else made[int(r.integers(len(made)))].split()
+            text = list(source)
+            for _ in range(int(r.integers(0, 3))):
+                text[int(r.integers(len(text)))] = word()
+    rows_ = list(enumerate(made))
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows_, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got) == sorted(classes_of(rows_))
+
+
 def test_one_of_each_class_stays(docs):
     kept = ngram_join.keep_one(docs)
     ids = [r["doc_id"] for r in kept.collect()]
