@@ -43,7 +43,9 @@ WORDS, PERCENT = 5, 80
 #: Index entries of a bucket on average at most; groups up to PAIRED sets give pairs; sets of a block.
 BUCKET_ENTRIES, PAIRED, BLOCK = 1_000_000, 32, 2048
 #: Frequent shingles: sets of a task that must have one to be counted, of all; how many at most; shingles counted at once.
-SEEN, HOT, FREQUENT, CHUNK = 4, 64, 1 << 20, 2 << 20
+SEEN, HOT, FREQUENT, CHUNK = 2, 12, 1 << 20, 2 << 20
+#: The bits of a shingle that its group's entries keep.
+LOW = (1 << 40) - 1
 #: Rows and bytes of sets that are traversed in one call on average, and such calls at least.
 SLOT_ROWS, SLOT_BYTES, SLOTS = 500, 4 << 20, 64
 
@@ -101,40 +103,44 @@ def frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     return token[order], some["n"].to_numpy()[order]
 
 
-def prefix(s: np.ndarray, k: int, hot: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The k first shingles of a set (in order of hashes): those that are not hot, then the hot ones, rarest first."""
+def prefix(s: np.ndarray, k: int, hot: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """The k first shingles of a set (in order of hashes): those that are not hot, then the hot ones, rarest first.  And the head: the first hot one among them, else the first, as its low 40 bits."""
+    head = s[0]
     if len(hot):
         at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
         is_hot = hot[at] == s
         if is_hot.any():
             last = s[is_hot]
-            s = np.concatenate((s[~is_hot], last[np.argsort(counts[at[is_hot]], kind="stable")]))
-    return s[:k]
+            last, s = last[np.argsort(counts[at[is_hot]], kind="stable")], s[~is_hot]
+            head = last[0] if len(s) < k else s[0]
+            s = np.concatenate((s, last))
+    return s[:k], int(head) & LOW
 
 
 def _signatures(words: int, percent: int, hot: np.ndarray, counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, sizes, bitmaps, prefixes = [], [], [], []
+            hashes, sizes, bitmaps, prefixes, heads = [], [], [], [], []
             for prints in word_prints(_bytes(batch.column(1))):
                 s = shingle_set(prints, words)
                 hashes.append(set_hash(s))
                 sizes.append(len(s))
                 bitmaps.append(signature(s) if len(s) else b"")
-                prefixes.append(prefix(s, len(s) + (-percent * len(s)) // 100 + 1, hot, counts).tobytes() if len(s) else b"")
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(hashes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bitmaps, pa.binary()), pa.array(prefixes, pa.binary())], ["id", "hash", "sid", "n", "bits", "prefix"])
+                first, head = prefix(s, len(s) + (-percent * len(s)) // 100 + 1, hot, counts) if len(s) else (s, 0)
+                prefixes.append(first.tobytes())
+                heads.append(head)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(hashes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bitmaps, pa.binary()), pa.array(prefixes, pa.binary()), pa.array(heads, pa.int64())], ["id", "hash", "sid", "n", "bits", "prefix", "head"])
 
     return run
 
 
-_CELLS = ["bucket", "low", "high", "place", "sids", "sizes", "last_low", "last_high"]
+_CELLS = ["bucket", "low", "high", "place", "sids", "sizes", "head_low", "head_high"]
 
 
 def _index(buckets: int):
-    """Batches of (sid, n, prefix) to one row a bucket of the shingles' hashes, with the entries as bytes.
+    """Batches of (sid, n, prefix, head) to one row a bucket of the shingles' hashes, with the entries as bytes.
 
-    An entry is the low 40 bits of a shingle, the place of its set among those of the row, and the low 40
-    bits of the shingle before it in the set's prefix (0: none).  Shingles that agree in these bits and the
+    An entry is the low 40 bits of a shingle and the place of its set among those of the row.  Shingles that agree in these bits and the
     bucket only make candidates of sets that the bitmaps then exclude.
     """
 
@@ -147,10 +153,8 @@ def _index(buckets: int):
             blobs = batch.column(2)
             runs = [np.frombuffer(blobs[int(k)].as_py(), np.uint64) for k in first]
             tokens = np.concatenate(runs)
-            lengths = [len(r) for r in runs]
-            owner = np.repeat(np.arange(len(sids), dtype=np.int32), lengths)
-            last = np.concatenate((tokens[:1], tokens[:-1]))
-            last[np.cumsum(lengths) - lengths] = 0
+            heads = batch.column(3).to_numpy()[first].view(np.uint64)
+            owner = np.repeat(np.arange(len(sids), dtype=np.int32), [len(r) for r in runs])
             place = (tokens >> np.uint64(40)).astype(np.int64) * buckets >> 24
             order = np.argsort(place, kind="stable")
             found, start = np.unique(place[order], return_index=True)
@@ -159,7 +163,7 @@ def _index(buckets: int):
             for p in parts if len(found) else []:
                 named, local = np.unique(owner[p], return_inverse=True)
                 low = tokens[p]
-                cells.append((low.astype(np.uint32).tobytes(), (low >> np.uint64(32)).astype(np.uint8).tobytes(), local.astype(np.int32 if len(named) > 65535 else np.uint16).tobytes(), sids[named].tobytes(), n[named].tobytes(), last[p].astype(np.uint32).tobytes(), (last[p] >> np.uint64(32)).astype(np.uint8).tobytes()))
+                cells.append((low.astype(np.uint32).tobytes(), (low >> np.uint64(32)).astype(np.uint8).tobytes(), local.astype(np.int32 if len(named) > 65535 else np.uint16).tobytes(), sids[named].tobytes(), n[named].tobytes(), heads[named].astype(np.uint32).tobytes(), (heads[named] >> np.uint64(32)).astype(np.uint8).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *(pa.array([c[k] for c in cells], pa.binary()) for k in range(7))], _CELLS)
 
     return run
@@ -170,21 +174,21 @@ def _joined40(low: bytes, high: bytes) -> np.ndarray:
 
 
 def _entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A bucket's entries: shingle, set, its size, and the shingle before in the set's prefix."""
+    """A bucket's entries: shingle, set, its size and its head."""
     out = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint64))]
-    for low, high, place, sids, sizes, last_low, last_high in zip(*(table[c].to_pylist() for c in _CELLS[1:]), strict=True):
+    for low, high, place, sids, sizes, head_low, head_high in zip(*(table[c].to_pylist() for c in _CELLS[1:]), strict=True):
         tokens = _joined40(low, high)
         at = np.frombuffer(place, np.uint16 if len(place) == 2 * len(tokens) else np.int32)
-        out.append((tokens, np.frombuffer(sids, np.int64)[at], np.frombuffer(sizes, np.int32)[at], _joined40(last_low, last_high)))
+        out.append((tokens, np.frombuffer(sids, np.int64)[at], np.frombuffer(sizes, np.int32)[at], _joined40(head_low, head_high)[at]))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def _groups(percent: int):
     """A bucket of the index to pairs of sets (a, b; small groups) and to blocks of sets to traverse (block, side, a; large ones).
 
-    Two sets of a group whose shingle before it is one and the same are in that shingle's group too, so
-    they have met there or earlier: only sets with different ones, or none, meet here.  So the near copies
-    of one text, which share nearly all of their prefixes, do not meet once for every shingle.
+    Two sets with one head are both in the head's group and meet there, so in all other groups only sets with
+    different heads meet.  So the near copies of one text, which share nearly all of their prefixes, do not
+    meet once for every shingle.  (Heads are compared by 40 bits.)
     """
     fields = [("block", pa.int64()), ("side", pa.int32()), ("a", pa.int64()), ("b", pa.int64())]
 
@@ -192,13 +196,13 @@ def _groups(percent: int):
         return [at[k : k + BLOCK] for k in range(0, len(at), BLOCK)]
 
     def run(table: pa.Table) -> pa.Table:
-        tokens, sids, sizes, last = _entries(table)
+        tokens, sids, sizes, heads = _entries(table)
         bucket = int(table["bucket"][0].as_py())
         order = np.lexsort((sids, sizes, tokens))
-        tokens, sids, sizes, last = tokens[order], sids[order], sizes[order], last[order]
+        tokens, sids, sizes, heads = tokens[order], sids[order], sizes[order], heads[order]
         new = np.ones(len(tokens), bool)
         new[1:] = (tokens[1:] != tokens[:-1]) | (sids[1:] != sids[:-1])  # a set in several batches counts once
-        tokens, sids, sizes, last = tokens[new], sids[new], sizes[new], last[new]
+        tokens, sids, sizes, heads = tokens[new], sids[new], sizes[new], heads[new]
         starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else np.zeros(0, np.int64)
         counts = np.diff(np.concatenate((starts, [len(tokens)])))
         pairs = [np.zeros((0, 2), np.int64)]
@@ -206,7 +210,7 @@ def _groups(percent: int):
             at = starts[counts == m]
             for i in range(m):
                 for j in range(i + 1, m):
-                    near = (100 * sizes[at + i].astype(np.int64) >= percent * sizes[at + j]) & ((last[at + i] != last[at + j]) | (last[at + i] == 0))
+                    near = (100 * sizes[at + i].astype(np.int64) >= percent * sizes[at + j]) & ((heads[at + i] != heads[at + j]) | (heads[at + i] == tokens[at]))
                     x, y = sids[at[near] + i], sids[at[near] + j]
                     pairs.append(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1))
         pairs = np.unique(np.concatenate(pairs), axis=0)
@@ -221,9 +225,9 @@ def _groups(percent: int):
 
         for s, m in zip(starts[counts > PAIRED], counts[counts > PAIRED], strict=True):
             at, token = np.arange(s, s + m), int(tokens[s])
-            before, often = np.unique(last[s : s + m], return_counts=True)
-            most = before[np.where(before == 0, 0, often).argmax()]
-            met = (last[s : s + m] == most) & (most != 0)
+            own, often = np.unique(heads[s : s + m], return_counts=True)
+            often[own == tokens[s]] = 0
+            met = (heads[s : s + m] == own[often.argmax()]) & (often.max() > 1)
             rest, old = cut(at[~met]), cut(at[met])
             for i, x in enumerate(rest):
                 for j, y in enumerate(rest[i:], i):
@@ -329,13 +333,13 @@ def _classed(docs: DataFrame, text: str, id_col: str, words: int, percent: int)
     """A row for each document: id, hash of its text, n (shingles), class (a set's hash; of one component all have the same) and component (its least id)."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text).alias("text"))
     hashed = slim.withColumn("hash", F.xxhash64("text"))
-    rows = written(hashed.mapInArrow(_signatures(words, percent, *frequent(slim.select("text"), words)), "id long, hash long, sid long, n int, bits binary, prefix binary"))
+    rows = written(hashed.mapInArrow(_signatures(words, percent, *frequent(slim.select("text"), words)), "id long, hash long, sid long, n int, bits binary, prefix binary, head long"))
     total = rows.agg(F.count("*").alias("rows"), F.sum(F.octet_length("prefix")).alias("bytes")).first()
     buckets = max(1, math.ceil((total["bytes"] or 0) / 8 / BUCKET_ENTRIES))
     full = rows.where("n > 0")
     classes = written(full.groupBy("sid").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("id").alias("least"), F.count("*").alias("copies")))
 
-    index = full.select("sid", "n", "prefix").mapInArrow(_index(buckets), "bucket int, low binary, high binary, place binary, sids binary, sizes binary, last_low binary, last_high binary")
+    index = full.select("sid", "n", "prefix", "head").mapInArrow(_index(buckets), "bucket int, low binary, high binary, place binary, sids binary, sizes binary, head_low binary, head_high binary")
     found = written(index.groupBy("bucket").applyInArrow(_groups(percent), "block long, side int, a long, b long"))
     bits = classes.select("sid", "n", "bits")
     one, two = (bits.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
