@@ -16,4 +16,4 @@ QUERIES = {
     "op9_guess_cost_secrets": secrets.op9_guess_cost_secrets,
     "op10_multiple_instance_toxicity": toxicity.op10_multiple_instance_toxicity,
 }
-ORACLE_SQL = {"op2_exact_dedup": exact_dedup.OP2_SQL}
+ORACLE_SQL = {"op2_exact_dedup": exact_dedup.OP2_SQL, "op5_signature_tree_join": ngram_join.OP5_SQL}

@@ -40,8 +40,8 @@ from .shingles import mix, shingle_set, word_prints
 from .signature_tree import Forest, Tree, linked_pairs, signature
 
 WORDS, PERCENT = 5, 80
-#: Index entries of a bucket on average at most; groups up to PAIRED sets give pairs; sets of a block.
-BUCKET_ENTRIES, PAIRED, BLOCK = 1_000_000, 32, 2048
+#: Index entries of a bucket on average at most; groups up to PAIRED sets give pairs; sets of a block of the candidates' step, and of the exact one.
+BUCKET_ENTRIES, PAIRED, BLOCK, WHOLE = 1_000_000, 32, 1024, 2048
 #: Frequent shingles: sets of a task that must have one to be counted, of all; how many at most; shingles counted at once.
 SEEN, HOT, FREQUENT, CHUNK = 2, 12, 1 << 20, 2 << 20
 #: The bits of a shingle that its group's entries keep.
@@ -353,7 +353,7 @@ def _classed(docs: DataFrame, text: str, id_col: str, words: int, percent: int)
     clusters = written(components(near))
 
     # whole sets of the classes in clusters, by blocks of each cluster
-    sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / WHOLE).cast("int").alias("blocks"))
     take = clusters.join(sizes, "root").withColumnRenamed("node", "sid").join(classes.select("sid", "n", F.col("least").alias("id")), "sid")
     take = written(take.withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(HASHED_BITS))))
     wanted = hashed_bits(take.select("bit"))
@@ -397,5 +397,20 @@ def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words:
     return kept.unionByName(docs.where(F.col(id_col).isNull()))
 
 
+#: The same rows by an inverted index of all shingles, for small tables.
+OP5_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+d AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(id, place) AS (SELECT DISTINCT a, a FROM d UNION SELECT r.id, d.b FROM r JOIN d ON r.place = d.a),
+c AS (SELECT id, min(place) AS component FROM r GROUP BY id)
+SELECT n.doc_id, n.n::BIGINT AS n_shingles, coalesce(c.component, n.doc_id) AS component_id FROM n LEFT JOIN c ON c.id = n.doc_id
+"""
+
+
 def op5_signature_tree_join(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

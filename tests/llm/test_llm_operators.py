@@ -325,6 +325,7 @@ def classes_of(pairs):
 def test_near_duplicates(docs, none, monkeypatch, paired, block):
     monkeypatch.setattr(ngram_join, "PAIRED", paired)
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "WHOLE", block)
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect()]
     assert sorted(got, key=repr) == sorted(classes_of([r[:2] for r in rows()]), key=repr)
     if paired == 32:
@@ -333,6 +334,7 @@ def test_near_duplicates(docs, none, monkeypatch, paired, block):
 
 def test_large_group_of_near_copies_and_a_common_passage(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "WHOLE", 16)
     r = np.random.default_rng(5)
     base = [f"w{r.integers(3000)}" for _ in range(100)]
     made = []
@@ -349,7 +351,7 @@ def test_large_group_of_near_copies_and_a_common_passage(spark, monkeypatch):
 @pytest.mark.parametrize("seed", range(4))
 def test_groups_of_every_kind_lose_no_link(spark, monkeypatch, seed):
     """Chains of edits, shared passages and frequent shingles, with groups cut small: as by all pairs."""
-    for name, value in (("BLOCK", 6), ("PAIRED", 3), ("SEEN", 2), ("HOT", 4)):
+    for name, value in (("BLOCK", 6), ("WHOLE", 6), ("PAIRED", 3), ("SEEN", 2), ("HOT", 4)):
         monkeypatch.setattr(ngram_join, name, value)
     r = np.random.default_rng(seed)
     word = lambda: f"w{r.integers(400)}"
