@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import text_of, written
+from .runtime import slices, text_of, written
 from .shingles import batches, words_of
 
 #: Dimensions of hashed words; words of a passage and its step; rank of the latent space, and columns beyond it.
@@ -92,7 +92,7 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def count(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(WIDTH + SLICES)
-        for batch in batches_in:
+        for batch in slices(batches_in):
             for _, some in batches(_plain(batch.column(0))):
                 w = Words(some)
                 owner = np.repeat(np.arange(len(some)), np.diff(w.cuts))
@@ -252,7 +252,7 @@ def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.nda
     item_of, targets = item_of[live_items], np.ascontiguousarray(rows.T)
 
     def run(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_in:
+        for batch in slices(batches_in):
             ids = batch.column(0)
             out: list[tuple] = []
             for base, some in batches(_plain(batch.column(1))):

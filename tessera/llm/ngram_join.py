@@ -35,15 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import attach, components
-from .runtime import HASHED_BITS, discard, hashed_bits, marked, text_of, written
+from .runtime import HASHED_BITS, discard, hashed_bits, marked, slices, text_of, trim, written
 from .shingles import mix, shingle_set, word_prints
 from .signature_tree import Forest, Tree, linked_pairs, signature
 
 WORDS, PERCENT = 5, 80
 #: Index entries of a bucket on average at most; groups up to PAIRED sets give pairs; sets of a block of the candidates' step, and of the exact one.
-BUCKET_ENTRIES, PAIRED, BLOCK, WHOLE = 1_000_000, 32, 1024, 2048
+BUCKET_ENTRIES, PAIRED, BLOCK, WHOLE = 600_000, 32, 1024, 2048
 #: Frequent shingles: sets of a task that must have one to be counted, of all; how many at most; shingles counted at once.
-SEEN, HOT, FREQUENT, CHUNK = 2, 12, 1 << 20, 2 << 20
+SEEN, HOT, FREQUENT, CHUNK = 2, 12, 1 << 20, 1 << 20
 #: The bits of a shingle that its group's entries keep.
 LOW = (1 << 40) - 1
 #: Rows and bytes of sets that are traversed in one call on average, and such calls at least.
@@ -73,7 +73,7 @@ def _common(words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, size = set(), [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for prints in word_prints(_bytes(batch.column(0))):
                 s = shingle_set(prints, words)
                 if (h := set_hash(s)) not in seen:
@@ -119,7 +119,7 @@ def prefix(s: np.ndarray, k: int, hot: np.ndarray, counts: np.ndarray) -> tuple[
 
 def _signatures(words: int, percent: int, hot: np.ndarray, counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             hashes, sizes, bitmaps, prefixes, heads = [], [], [], [], []
             for prints in word_prints(_bytes(batch.column(1))):
                 s = shingle_set(prints, words)
@@ -146,6 +146,7 @@ def _index(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            trim()
             sids, first = np.unique(batch.column(0).to_numpy(), return_index=True)
             if not len(sids):
                 continue
@@ -196,6 +197,7 @@ def _groups(percent: int):
         return [at[k : k + BLOCK] for k in range(0, len(at), BLOCK)]
 
     def run(table: pa.Table) -> pa.Table:
+        trim()
         tokens, sids, sizes, heads = _entries(table)
         bucket = int(table["bucket"][0].as_py())
         order = np.lexsort((sids, sizes, tokens))
@@ -320,7 +322,7 @@ def _sets(words: int, members: np.ndarray):
     """The whole sets of documents whose bit (of the last column) is set in ``members``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             bit = batch.column(2).to_numpy()
             batch = batch.filter(pa.array(marked(bit, members)))
             found = [shingle_set(w, words) for w in word_prints(_bytes(batch.column(1)))]

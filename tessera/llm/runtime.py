@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.storage import discard, shared_dir, written
 
-__all__ = ["HASHED_BITS", "discard", "hashed_bits", "marked", "running_totals", "shared_dir", "text_of", "written"]
+__all__ = ["HASHED_BITS", "discard", "hashed_bits", "marked", "running_totals", "shared_dir", "slices", "text_of", "trim", "written"]
 
 #: Bits of a filter on hashed keys.
 HASHED_BITS = 1 << 26
@@ -28,6 +32,30 @@ def marked(bit: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[bit >> 3] >> (bit & 7)) & 1 == 1
 
 
+#: Rows of an Arrow batch that are handled at once where each brings a whole text.
+TEXTS = 1000
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = TEXTS) -> Iterator[pa.RecordBatch]:
+    """The batches cut small, so that what is made of them is small too; after each batch, memory that is no longer used goes back to the machine, since a worker lives on for other stages."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+        trim()
+
+
+def trim() -> None:
+    pa.default_memory_pool().release_unused()
+    if _malloc_trim:
+        _malloc_trim(0)
+
+
+try:
+    _malloc_trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # not with this C library
+    _malloc_trim = None
+
+
 def text_of(column: str = "text") -> Column:
     """The text, null read as empty."""
     return F.coalesce(F.col(column), F.lit(""))

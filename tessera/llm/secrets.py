@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import HASHED_BITS, hashed_bits, marked, text_of, written
+from .runtime import HASHED_BITS, hashed_bits, marked, slices, text_of, written
 
 #: Fixed patterns of the base kinds, in the order of ties.
 BASE = {
@@ -184,7 +184,7 @@ def _some(copied: np.ndarray, wanted: bool):
     """The texts whose bit says that they have copies, or those whose bit says that they have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.column(0).filter(pa.array(marked(batch.column(1).to_numpy(), copied) == wanted))
 
     return run
@@ -229,7 +229,7 @@ _VALUE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         base, values = [], []
         for text in batch.column(1).to_pylist():
             own = base_spans(text)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import text_of
+from .runtime import slices, text_of, trim
 from .shingles import batches, mix
 
 #: The labelled documents that the fit uses at most.
@@ -132,6 +132,8 @@ def _train(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts += [x or b"" for x in b.column(0).cast(pa.binary()).to_pylist()]
         labels += b.column(1).to_pylist()
     weights, bias = fit(texts, labels)
+    del texts
+    trim()
     yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias])], ["weights", "bias"])
 
 
@@ -139,7 +141,7 @@ def _apply(packed: bytes, bias: float):
     def run(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.frombuffer(packed, np.float32)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-        for batch in batches_in:
+        for batch in slices(batches_in):
             texts = [x or b"" for x in batch.column(1).cast(pa.binary()).to_pylist()]
             found, marks = [np.zeros(0)], []
             for _, some in batches(texts):
@@ -188,7 +190,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: s
 
     def keep(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = np.frombuffer(weights[0], np.float32)
-        for batch in batches_in:
+        for batch in slices(batches_in):
             texts = [x or b"" for x in batch.column(names.index(text)).cast(pa.binary()).to_pylist()]
             found = [np.zeros(0)]
             for _, some in batches(texts):
