@@ -27,8 +27,8 @@ def place(query):
 def store(spark, tmp_path):
     made = Store(spark, str(tmp_path / "tables"))
     df = lambda rows, kind: spark.createDataFrame(rows, kind)
-    made.write("firms", df([(1, "Acme", ["x"], "unknown"), (2, "Acme (east)", [], "unknown"), (4, "Basalt House Partners of Utah", [], None), (5, "Basalt House Partners in Utah", [], None)], "id long, name string, aliases array<string>, firm_type string"))
-    made.write("projects", df([(1, "Harbour Tower", "Ogden"), (2, "harbour tower", None)], "id long, name string, city string"))
+    made.write("firms", df([(1, "Acme", ["x"], "unknown"), (2, "Acme (east)", [], "unknown"), (4, "Basalt House Partners of Nordia", [], None), (5, "Basalt House Partners in Nordia", [], None)], "id long, name string, aliases array<string>, firm_type string"))
+    made.write("projects", df([(1, "Harbour Tower", "Northport"), (2, "harbour tower", None)], "id long, name string, city string"))
     made.write("roles", df([(1, 1, 1, "Architect", "design"), (2, 1, 2, "Architect", "design"), (3, 2, 1, "Architect (core)", "design"), (4, 2, 1, "Architect", "design")], "id long, project_id long, firm_id long, role string, team string"))
     made.write("firm_mentions", df([(1, "ACME", None, None, False), (2, "Nobody Inc", None, None, False)], "id long, raw_text string, canonical_id long, confidence float, corrected boolean"))
     made.write("articles", df([(1, "T", "project_feature", "s", 2), (2, "Ad", "advertisement", "s", None)], "id long, title string, article_type string, summary string, primary_project_id long"))

@@ -61,7 +61,7 @@ def test_project_decisions(spark):
 
 
 def test_leaders(spark):
-    rows = spark.createDataFrame([(1, "Northern Granite Partners of Utah"), (2, "Northern Granite Partners of Utahs"), (3, "Something Else Entirely"), (4, "northern granite partners of utah"), (5, "Something Else Entirely, Inc."), (6, None)], "id long, name string")
+    rows = spark.createDataFrame([(1, "Northern Granite Partners of Nordia"), (2, "Northern Granite Partners of Nordias"), (3, "Something Else Entirely"), (4, "northern granite partners of nordia"), (5, "Something Else Entirely, Inc."), (6, None)], "id long, name string")
     assert {r["id"]: r["leader"] for r in mentions.leaders(rows, floor=0.85).collect()} == {1: 1, 2: 1, 3: 3, 4: 1, 5: 3}
 
 
@@ -126,9 +126,9 @@ def test_people_mentions(spark):
 
 
 def test_projects_are_resolved(spark):
-    known = tables.conform(spark.createDataFrame([(1, "Harbour Tower", "Ogden", 5_000_000, 2020), (2, "Harbour Tower North", "Provo", None, None), (3, "Other Place", None, None, None)], "id long, name string, city string, cost_usd long, year_completed int"), "projects")
+    known = tables.conform(spark.createDataFrame([(1, "Harbour Tower", "Northport", 5_000_000, 2020), (2, "Harbour Tower North", "Southport", None, None), (3, "Other Place", None, None, None)], "id long, name string, city string, cost_usd long, year_completed int"), "projects")
     sources = spark.sql("SELECT 3L AS project_id, 'article' AS source_type, '77' AS source_ref, 0.5F AS confidence, timestamp'2024-01-01' AS first_seen, timestamp'2024-01-01' AS last_seen")
-    rows = [(11, "Whatever", None, None, None, "article", "77"), (12, "harbour tower", "ogden", 5_100_000, 2022, "article", "78"), (13, "Harbour Towers", "Provo", None, None, "article", "79"), (14, "Unseen Works", None, None, None, "article", "80"), (15, "Unseen Works again", None, None, None, "article", "80"), (16, "Loose", None, None, None, None, None)]
+    rows = [(11, "Whatever", None, None, None, "article", "77"), (12, "harbour tower", "northport", 5_100_000, 2022, "article", "78"), (13, "Harbour Towers", "Southport", None, None, "article", "79"), (14, "Unseen Works", None, None, None, "article", "80"), (15, "Unseen Works again", None, None, None, "article", "80"), (16, "Loose", None, None, None, None, None)]
     asked = spark.createDataFrame(rows, "id long, name string, city string, cost_usd long, year_completed int, source_type string, source_ref string")
     asked = tables.conform(asked, "projects").join(asked.select("id", "source_type", "source_ref"), "id")
     out = projects.resolve_projects(asked, known, sources, tiebreak=lambda rest: rest.select("key", F.col("best")[0]["candidate"].alias("candidate"), F.lit(0.6).alias("confidence")))
@@ -293,18 +293,18 @@ def test_probes_run_once(spark):
 
 
 def test_geocoding(spark):
-    known = tables.conform(spark.createDataFrame([(1, "Main St", "Ogden", "UT", None, None), (2, None, None, None, None, None), (3, "Nowhere", None, None, 1.0, None), (4, "Main St", "Ogden", "UT", None, "Kept")], "id long, location string, city string, state string, lat double, county string"), "projects")
+    known = tables.conform(spark.createDataFrame([(1, "Main St", "Northport", "UT", None, None), (2, None, None, None, None, None), (3, "Nowhere", None, None, 1.0, None), (4, "Main St", "Northport", "UT", None, "Kept")], "id long, location string, city string, state string, lat double, county string"), "projects")
     tries = []
 
     def backend(q):
         tries.append(q)
         if q.startswith("Nowhere"):
             return json.dumps({"status": "ZERO_RESULTS", "results": []})
-        return json.dumps({"status": "OK", "results": [{"geometry": {"location": {"lat": 41.2, "lng": -111.9}}, "address_components": [{"long_name": "Weber County", "types": ["administrative_area_level_2"]}]}]})
+        return json.dumps({"status": "OK", "results": [{"geometry": {"location": {"lat": 11.5, "lng": -21.5}}, "address_components": [{"long_name": "Alder County", "types": ["administrative_area_level_2"]}]}]})
 
     out, stats = geocode.sweep(known, backend)
     assert {r["outcome"]: r["n"] for r in stats.collect()} == {"geocoded": 2, "no_query": 1, "no_match": 1}
-    assert {r["id"]: (r["lat"], r["lng"], r["county"]) for r in out.collect()} == {1: (41.2, -111.9, "Weber"), 2: (None, None, None), 3: (1.0, None, None), 4: (41.2, -111.9, "Kept")}
+    assert {r["id"]: (r["lat"], r["lng"], r["county"]) for r in out.collect()} == {1: (11.5, -21.5, "Alder"), 2: (None, None, None), 3: (1.0, None, None), 4: (11.5, -21.5, "Kept")}
     assert geocode.sweep(known, backend, dry_run=True)[0] is known
 
 
