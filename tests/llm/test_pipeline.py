@@ -21,7 +21,8 @@ def stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     out = [docs.collect()]
     for _, f in corpus_pipeline.STAGES:
-        docs = spark.createDataFrame(f(spark, docs, FOLDER).collect(), f(spark, docs, FOLDER).schema)
+        kept = f(spark, docs, FOLDER)
+        docs = spark.createDataFrame(kept.collect(), kept.schema)
         out.append(docs.collect())
     return out
 

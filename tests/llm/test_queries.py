@@ -201,7 +201,8 @@ def test_stages_keep_their_columns_on_hostile_tables(spark, folder):
     columns = docs.columns
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         before = collections.Counter(r["doc_id"] for r in docs.collect())
-        docs = spark.createDataFrame(stage(spark, docs, folder).collect(), stage(spark, docs, folder).schema)
+        out = stage(spark, docs, folder)
+        docs = spark.createDataFrame(out.collect(), out.schema)
         after = collections.Counter(r["doc_id"] for r in docs.collect())
         if k < 4:
             assert docs.columns == columns, name
