@@ -8,15 +8,19 @@ every document is then projected, and its cosine taken in that space with every
 with every item as a whole, in blocks.
 A passage near an item is checked: the longest common subsequence of words, against the stretch of the
 document around the passage, must cover nearly all of the item, or enough of it and of its answer, its
-last sentence.  Each passage of an item is looked for by its KEPT_WORDS rarest words, whatever their
-frequency; other words weigh nothing.  So what is found does not depend on the size of the corpus.
+last sentence.  In the latent space each passage of an item is looked for by its KEPT_WORDS rarest words,
+whatever their frequency; other words weigh nothing.  What its words, its rank or the least cosine leave out
+is found by an exact way (``Rest``): a stretch that passes holds COVER of an item's words, so one at least of
+its rarest; texts that have one are compared by their counts of the item's words, and those with enough are
+checked around every passage.  So the pairs found are those that a check around every passage of every
+document against every item finds, whatever the size of the corpus.
 
 A document is contaminated by an item that passes.  Words are runs of characters other than ASCII white
 space, A-Z lower-cased, so that rewrapped lines and case do not matter, nor do inserted, dropped or
 replaced words as long as the common subsequence holds.
 
 Edge cases: null or empty texts are never contaminated; null or empty items match nothing; an empty
-benchmark or table gives an empty result (a filter then keeps all); items with equal texts are each
+benchmark or table gives an empty result (a filter then keeps all); an item of a word or two is found wherever its words are; items with equal texts are each
 reported, and of equal cosines the earlier passage is checked first; a very long text is searched whole, TAKEN passages at a time;
 repeated rows are judged alike; columns beside id and text are ignored.
 """
@@ -41,6 +45,8 @@ KEPT_WORDS, LEAST_HITS = 10, 3
 COSINE, ALONE, COVER, ANSWER = 0.5, 0.85, 0.7, 0.5
 #: Items' passages compared at once, and passages of a text compared with them at once; slices in which sums are made.
 ITEM_BLOCK, TAKEN, SLICES = 2048, 4096, 64
+#: Entries of lists of texts, items and words that are held at once.
+ENTRIES = 1 << 20
 
 
 class Words:
@@ -223,8 +229,96 @@ class Item:
         return cover, self.common(self.answer, words) / len(self.answer) if cover >= COVER else 0.0
 
 
-def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.ndarray, cosine: float):
+def _runs(sizes: np.ndarray) -> Iterator[slice]:
+    """Runs of neighbours whose sizes come to about ENTRIES."""
+    ends, first = np.cumsum(sizes), 0
+    while first < len(sizes):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + ENTRIES, "right")))
+        yield slice(first, last)
+        first = last
+
+
+def _spread(cuts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the keys' lists, and for each the number of its key in ``keys``."""
+    n = cuts[keys + 1] - cuts[keys]
+    owner = np.repeat(np.arange(len(keys)), n)
+    return np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + cuts[keys][owner], owner
+
+
+class Rest:
+    """Which items may be in which texts, by words alone: no pair that passes the check is left out.
+
+    A stretch that passes holds at least ``need`` of an item's n words, so one at least of any n - need + 1 of
+    them: each item is listed under its rarest.
+    """
+
+    def __init__(self, items: list[Item], idf: np.ndarray) -> None:
+        sizes = np.array([len(i.words) for i in items], np.int64)
+        item = np.repeat(np.arange(len(items)), sizes)
+        self.words, word = np.unique(np.array([x for i in items for x in i.words], np.uint64), return_inverse=True)
+        dims = (self.words >> np.uint64(20)).astype(np.int64) & (WIDTH - 1)
+        self.dims = np.zeros(WIDTH, bool)
+        self.dims[dims] = True
+        self.need = np.ceil(COVER * sizes - 1e-6).astype(np.int64)
+        order = np.lexsort((word, -idf[dims[word]], item))
+        rank = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        taken = rank < (sizes - self.need + 1)[item]
+        listed = np.unique(word[order[taken]] * len(items) + item[taken])
+        self.listed, self.list_cuts = listed % len(items), np.searchsorted(listed, np.arange(len(self.words) + 1) * len(items))
+        own, self.times = np.unique(item * len(self.words) + word, return_counts=True)
+        self.own, self.own_cuts = own % len(self.words), np.searchsorted(own, np.arange(len(items) + 1) * len(self.words))
+        self.rare = np.isin(own, listed % len(items) * len(self.words) + listed // len(items))
+
+    def known(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The words of the texts that items have: place and number."""
+        at = np.flatnonzero(self.dims[w.dims])
+        word = np.minimum(np.searchsorted(self.words, w.prints[at]), len(self.words) - 1)
+        same = self.words[word] == w.prints[at]
+        return at[same], word[same]
+
+    def pairs(self, w: Words, at: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, int]]:
+        """The texts and items that share a listed word and words enough, each as often as both have it."""
+        size, items = len(self.words), len(self.need)
+        keys, times = np.unique((np.searchsorted(w.cuts, at, "right") - 1) * size + word, return_counts=True)
+        listing = np.flatnonzero(np.diff(self.list_cuts)[keys % size])
+        text = keys[listing] // size
+        edges = np.flatnonzero(np.diff(text, prepend=-1))
+        lists = np.diff(self.list_cuts)[keys[listing] % size]
+        for run in _runs(np.add.reduceat(lists, edges) if len(edges) else edges):  # whole texts
+            some = slice(edges[run.start], edges[run.stop] if run.stop < len(edges) else len(text))
+            place, owner = _spread(self.list_cuts, keys[listing[some]] % size)
+            pair = np.unique(text[some][owner] * items + self.listed[place])
+            pair = pair[np.diff(w.cuts)[pair // items] >= self.need[pair % items]]
+            for part in _runs(np.diff(self.own_cuts)[pair % items]):
+                t, i = np.divmod(pair[part], items)
+                place, owner = _spread(self.own_cuts, i)
+                want = t[owner] * size + self.own[place]
+                found = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+                shared = np.where(keys[found] == want, np.minimum(times[found], self.times[place]), 0)
+                enough = np.bincount(owner, shared, len(t)) >= self.need[i]
+                yield from zip(t[enough].tolist(), i[enough].tolist(), strict=True)
+
+    def stretches(self, i: int, at: np.ndarray, word: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Of the stretches of a text, both ends ascending, those with words enough and a listed one that no other holds: number, and places of the item's words."""
+        own = slice(self.own_cuts[i], self.own_cuts[i + 1])
+        k = np.minimum(np.searchsorted(self.own[own], word), own.stop - own.start - 1)
+        mine = self.own[own][k] == word
+        at, rare = at[mine], np.concatenate(([0], np.cumsum(self.rare[own][k[mine]])))
+        first, last = np.searchsorted(at, low), np.searchsorted(at, high)
+        live = np.flatnonzero((last - first >= self.need[i]) & (rare[last] > rare[first]))
+        live = live[np.concatenate(([True], (np.diff(first[live]) > 0) | (np.diff(last[live]) > 0)))[: len(live)]]
+        first, last = first[live], last[live]
+        inner = np.zeros(len(live), bool)
+        inner[:-1] |= first[:-1] == first[1:]
+        inner[1:] |= last[1:] == last[:-1]
+        for n, a, b in zip(live[~inner], first[~inner], last[~inner], strict=True):
+            yield int(n), at[a:b]
+
+
+def _search(items: list[tuple], weights: np.ndarray, idf: np.ndarray, dims: np.ndarray, basis: np.ndarray, cosine: float):
+    """weights: of all words; idf: in the latent space."""
     known = [Item(i, t) for i, t in items]
+    rest = Rest(known, weights)
     place = np.full(WIDTH, -1, np.int32)
     place[dims] = np.arange(len(dims))
 
@@ -251,6 +345,25 @@ def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.nda
     live_items, rows = project(whole, first_of, end_of)
     item_of, targets = item_of[live_items], np.ascontiguousarray(rows.T)
 
+    def left(w: Words, first: np.ndarray, end: np.ndarray, text: np.ndarray, met: set[tuple[int, int]]) -> Iterator[tuple]:
+        """Text, item, cosine and covers of the pairs that pass and are not among those met."""
+        at, word = rest.known(w)
+        for t, i in rest.pairs(w, at, word):
+            if (t, i) in met:
+                continue
+            item, found = known[i], None
+            reach = len(item.words) + len(item.words) // 4
+            own, some = slice(*np.searchsorted(text, (t, t + 1))), slice(*np.searchsorted(at, w.cuts[t : t + 2]))
+            low, high = np.maximum(w.cuts[t], first[own] - reach), np.minimum(w.cuts[t + 1], end[own] + reach)
+            for n, places in rest.stretches(i, at[some], word[some], low, high):
+                cover, answer = item.check(w.prints[places].tolist())  # other words change nothing
+                if item.passes(cover, answer) and (not found or (cover, answer) > found[:2]):
+                    found = (cover, answer, low[n], high[n])
+            if found:
+                inside = (first >= found[2]) & (end <= found[3])
+                near = project(w, first[inside], end[inside])[1] @ targets[:, item_of == i]
+                yield t, i, float(near.max()) if near.size else 0.0, *found[:2]
+
     def run(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches_in):
             ids = batch.column(0)
@@ -261,6 +374,7 @@ def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.nda
                 if not len(first):
                     continue
                 best: dict[tuple[int, int], list] = {}
+                met: set[tuple[int, int]] = set()
                 for p0 in range(0, len(first), TAKEN):
                     live, rows = project(w, first[p0 : p0 + TAKEN], end[p0 : p0 + TAKEN])
                     live += p0
@@ -282,7 +396,9 @@ def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.nda
                         if item.passes(cover, answer):
                             break
                     if item.passes(*found[1:3]):
+                        met.add((t, i))
                         out.append((base + t, item.id, *found[:3]))
+                out += [(base + t, known[i].id, *values) for t, i, *values in left(w, first, end, text, met)]
             yield pa.RecordBatch.from_arrays(
                 [ids.take(at := pa.array([o[0] for o in out], pa.int64())), batch.column(2).take(at), pa.array([o[1] for o in out], pa.int64()), *(pa.array([o[k] for o in out], pa.float64()) for k in (2, 3, 4))],
                 ["doc_id", "hash", "item_id", "cosine", "cover", "answer_cover"],
@@ -292,9 +408,10 @@ def _search(items: list[tuple], idf: np.ndarray, dims: np.ndarray, basis: np.nda
 
 
 def _found(docs: DataFrame, items: DataFrame, text: str, id_col: str, item_id: str, cosine: float) -> DataFrame:
-    """A row for each document and item found in it: doc_id, hash (of the text), item_id, cosine, cover and answer_cover."""
+    """A row for each document and item found in it: doc_id, hash (of the text), item_id, cosine (0 without a direction), cover and answer_cover."""
     items = items.select(F.col(item_id).cast("long").alias("item_id"), text_of(text).alias("text"))
-    idf, dims, basis = latent_space(items, inverse_frequencies(document_frequencies(docs, text)))
+    weights = inverse_frequencies(document_frequencies(docs, text))
+    idf, dims, basis = latent_space(items, weights)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text).alias("text"), F.xxhash64(text_of(text)).alias("hash"))
     kind = "doc_id long, hash long, item_id long, cosine double, cover double, answer_cover double"
     out, block, held = None, [], 0
@@ -304,10 +421,10 @@ def _found(docs: DataFrame, items: DataFrame, text: str, id_col: str, item_id: s
             block.append((r["item_id"], r["text"].encode()))
             held += 2 + len(r["text"].split()) // STEP  # its passages, and the whole
         if held >= 8 * ITEM_BLOCK:
-            part = slim.mapInArrow(_search(block, idf, dims, basis, cosine), kind)
+            part = slim.mapInArrow(_search(block, weights, idf, dims, basis, cosine), kind)
             out, block, held = part if out is None else out.unionByName(part), [], 0
     if block or out is None:
-        part = slim.mapInArrow(_search(block, idf, dims, basis, cosine), kind) if block else slim.sparkSession.createDataFrame([], kind)
+        part = slim.mapInArrow(_search(block, weights, idf, dims, basis, cosine), kind) if block else slim.sparkSession.createDataFrame([], kind)
         out = part if out is None else out.unionByName(part)
     return out
 

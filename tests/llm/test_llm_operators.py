@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("tessera.llm.catalog")
@@ -502,6 +503,66 @@ def test_every_leak_is_found(spark):
         assert longest_common(items[item], texts[doc]) >= decontamination.COVER * len(items[item])
 
 
+def passing(texts, items):
+    """The check around every passage of every text against every item, by plain subsequences."""
+    out = set()
+    for doc, words in texts.items():
+        n = len(words)
+        firsts = sorted({min(a, max(0, n - decontamination.PASSAGE)) for a in range(0, n + decontamination.STEP, decontamination.STEP)}) if n else []
+        for item, own in items.items():
+            reach = len(own) + len(own) // 4
+            stops = [k for k, w in enumerate(own[:-1]) if w[-1] in ".!?"]
+            answer = own[stops[-1] + 1 :] if stops else own
+            for a in firsts:
+                some = words[max(0, a - reach) : a + decontamination.PASSAGE + reach]
+                if sum((collections.Counter(own) & collections.Counter(some)).values()) < decontamination.COVER * len(own):
+                    continue
+                cover = longest_common(own, some) / len(own)
+                if cover >= decontamination.ALONE or cover >= decontamination.COVER and longest_common(answer, some) / len(answer) >= decontamination.ANSWER:
+                    out.add((doc, item))
+                    break
+    return out
+
+
+def test_items_are_found_without_their_rarest_words(spark):
+    """Copies that lost the rarest words, by which the latent space looks for a passage, and copies of items of two words."""
+    r = np.random.default_rng(21)
+    items, texts = {}, {k: [f"word{w}" for w in r.integers(300, size=200)] for k in range(40)}
+    for k in range(8):
+        own = [f"word{w}" for w in r.integers(300, size=30 + 6 * k)]
+        rare = sorted(r.choice(len(own) - 8, int(0.27 * len(own)), replace=False))
+        for x in rare:
+            own[x] = f"rare{k}x{x}"
+        own[-9] += "."
+        items[k] = own
+        texts[k][50:50] = [f"other{x}" if x in rare else w for x, w in enumerate(own)]
+    items[8], texts[30][90:92] = ["two", "words"], ["two", "words"]
+    want = passing(texts, items)
+    assert want >= {*((k, k) for k in range(8)), (30, 8)}
+    made = [spark.createDataFrame([(k, " ".join(w)) for k, w in some.items()], f"{name} long, text string") for some, name in ((texts, "doc_id"), (items, "item_id"))]
+    assert {(x["doc_id"], x["item_id"]) for x in decontamination.contaminated(*made).collect()} == want
+    assert {x["doc_id"] for x in decontamination.drop_contaminated(*made).collect()} == set(texts) - {k for k, _ in want}
+
+
+@pytest.mark.parametrize("entries", [1, 50, 1 << 20])
+def test_the_rest_of_an_empty_space_is_all_that_passes(monkeypatch, entries):
+    """Few and frequent words, copies in part, repeats; lists cut anywhere."""
+    monkeypatch.setattr(decontamination, "ENTRIES", entries)
+    r = np.random.default_rng(22)
+    item = lambda n: [f"w{w}" + "." * (r.random() < 0.1) for w in r.zipf(1.3, n) % 80]
+    items = {k: item(n) for k, n in enumerate((1, 2, 3, 5, 9, 14, 20, 33, 48, 70, 130))}
+    items[11] = list(items[6])
+    texts = {k: item(int(n)) for k, n in enumerate([0, 1, 3, 31, 32, 33, 48, 49, *r.integers(1, 400, 30)])}
+    for k in range(8, 38):
+        texts[k][len(texts[k]) // 2 :] = [w for w in items[k % 12] if r.random() < 0.8] + texts[k][len(texts[k]) // 2 :]
+    weights = np.full(decontamination.WIDTH, 0.5, np.float32)
+    search = decontamination._search([(k, " ".join(w).encode()) for k, w in items.items()], weights, np.zeros_like(weights), np.zeros(0, np.int64), np.zeros((0, 0), np.float32), 0.5)
+    batch = pa.RecordBatch.from_arrays([pa.array(list(texts), pa.int64()), pa.array([" ".join(w) for w in texts.values()]), pa.array(list(texts), pa.int64())], ["doc_id", "text", "hash"])
+    got = [(x["doc_id"], x["item_id"]) for part in search(iter([batch])) for x in part.to_pylist()]
+    want = passing(texts, items)
+    assert len(got) == len(set(got)) and set(got) == want and 60 < len(want) < 400
+
+
 def test_very_long_text_is_searched_whole(spark, monkeypatch):
     r = np.random.default_rng(2)
     item = sentence(r, 60) + "."
