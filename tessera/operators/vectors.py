@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors of a packed block; candidates that a task holds before it passes them on.
-BLOCK, HELD = 2048, 4_000_000
+#: Vectors and bytes of a packed block at most; queries scored at once; candidates that a task holds before it passes them on.
+BLOCK, BLOCK_BYTES, STEP, HELD = 2048, 1 << 22, 256, 500_000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -32,52 +33,72 @@ def nearest(rows: DataFrame, query: list[float], k: int, vector: str = "embeddin
 
 
 def _packed(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
-    """ids, data: blocks of up to BLOCK unit vectors as bytes; a vector of length 0, null or with a null in it becomes NaN."""
+    """ids, width, data: blocks of up to BLOCK unit vectors of one width as bytes; a vector of length 0, null or with a null in it becomes NaN."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(k, BLOCK)
-                some = part.column(1).to_pylist()
-                width = max((len(v) for v in some if v is not None), default=0)
-                data = np.full((len(some), width), np.nan)
-                for at, v in enumerate(some):
-                    if v is not None and len(v) == width and None not in v:
-                        data[at] = v
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    data /= np.linalg.norm(data, axis=1, keepdims=True)
-                yield pa.RecordBatch.from_arrays([pa.array([part.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False).tobytes()], pa.binary()), pa.array([width], pa.int32()), pa.array([data.tobytes()], pa.binary())], ["ids", "width", "data"])
+            ids, column = batch.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False), batch.column(1)
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat, starts = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes
+            for width in np.unique(sizes):
+                of, step = np.flatnonzero(sizes == width), max(1, min(BLOCK, BLOCK_BYTES // (8 * max(1, width))))
+                for k in range(0, len(of), step):
+                    part = of[k : k + step]
+                    data = flat[starts[part, None] + np.arange(width)].astype(np.float64)
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        data /= np.linalg.norm(data, axis=1, keepdims=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[part].tobytes()], pa.binary()), pa.array([width], pa.int32()), pa.array([data.tobytes()], pa.binary())], ["ids", "width", "data"])
 
     return rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(vector).cast("array<double>")).mapInArrow(run, "ids binary, width int, data binary")
 
 
+def _first(query: np.ndarray, row: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each query's k best candidates; equal scores go to the smaller id, NaN comes last."""
+    order = np.lexsort((row, -np.where(np.isnan(score), -np.inf, score), query))
+    query, row, score = query[order], row[order], score[order]
+    keep = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return query[keep], row[keep], score[keep]
+
+
 def _best(k: int, digits: int):
-    """Pairs of packed blocks to each query's k best rows of a task: query_id, id, similarity (null where there is none)."""
+    """Pairs of packed blocks to each query's k best rows of a task: query_id, id, similarity (null where there is none).
+
+    Held candidates are cut to the k best a query first, and passed on where these alone are many, so
+    that memory depends on neither table's size.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
-        def flush() -> pa.RecordBatch:
-            query, row, score = (np.concatenate([h[c] for h in held]) for c in range(3))
-            order = np.lexsort((row, -np.where(np.isnan(score), -np.inf, score), query))
-            query, row, score = query[order], row[order], score[order]
-            at = np.arange(len(query)) - np.searchsorted(query, query)
+        def cut() -> tuple:
+            out = _first(*(np.concatenate([h[c] for h in held]) for c in range(3)), k)
             held.clear()
-            keep = at < k
-            return pa.RecordBatch.from_arrays([pa.array(query[keep]), pa.array(row[keep]), pa.array(score[keep], mask=np.isnan(score[keep]))], ["query_id", "id", "similarity"])
+            return out
+
+        def shown(query: np.ndarray, row: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(query), pa.array(row), pa.array(score, mask=np.isnan(score))], ["query_id", "id", "similarity"])
 
         for batch in batches:
-            for ids, width, data, query_ids, query_width, query_data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for at in range(batch.num_rows):
+                ids, data, query_ids, query_data = (batch.column(c)[at].as_buffer() for c in (0, 2, 3, 5))  # without a copy
+                width, query_width = batch.column(1)[at].as_py(), batch.column(4)[at].as_py()
                 row, query = np.frombuffer(ids, np.int64), np.frombuffer(query_ids, np.int64)
                 x, q = np.frombuffer(data).reshape(len(row), width), np.frombuffer(query_data).reshape(len(query), query_width)
-                order = np.argsort(row, kind="stable")  # equal scores go to the smaller id
-                score = np.round(q @ x[order].T, digits) if width == query_width else np.full((len(query), len(row)), np.nan)
-                best = np.argsort(-np.where(np.isnan(score), -np.inf, score), axis=1, kind="stable")[:, :k]
-                held.append((np.repeat(query, best.shape[1]), row[order][best].ravel(), np.take_along_axis(score, best, 1).ravel()))
+                for start in range(0, len(query), STEP):
+                    some = q[start : start + STEP]
+                    score = np.round(some @ x.T, digits) if width == query_width and width else np.full((len(some), len(row)), np.nan)
+                    rest = np.where(np.isnan(score), np.inf, -score)
+                    least = np.partition(rest, k - 1, axis=1)[:, k - 1 : k] if k < len(row) else np.inf
+                    of, to = np.nonzero(rest <= least)
+                    held.append(_first(query[start + of], row[to], score[of, to], k))
                 if sum(len(h[0]) for h in held) > HELD:
-                    yield flush()
+                    best = cut()
+                    if len(best[0]) > HELD // 2:
+                        yield shown(*best)
+                    else:
+                        held.append(best)
         if held:
-            yield flush()
+            yield shown(*cut())
 
     return run
 
@@ -86,10 +107,13 @@ def nearest_each(rows: DataFrame, queries: DataFrame, k: int, vector: str = "emb
     """The k rows nearest to each query (query_id, query): query_id, the id, similarity (rounded) and rank.  Ties go to the smaller id.
 
     Queries are a stated set, taken in blocks against blocks of rows: a product of two matrices each, of
-    which a task passes on k rows a query.  Without queries or rows the result is empty; vectors of length
+    which a task passes on k rows a query.  Both are dealt out first, rows eight times as widely, since a
+    small file would be one task.  Without queries or rows the result is empty; vectors of length
     0, of another width, null or with a null in them have no similarity and come last; a null id is no row.
     """
-    packed, asked = _packed(rows, id_col, vector), _packed(queries, "query_id", "query").toDF("query_ids", "query_width", "query_data")
+    parts = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    packed = _packed(rows.select(id_col, vector).repartition(parts), id_col, vector)
+    asked = _packed(queries.select("query_id", "query").repartition(max(1, parts // 8)), "query_id", "query").toDF("query_ids", "query_width", "query_data")
     near = packed.crossJoin(asked).mapInArrow(_best(k, digits), "query_id long, id long, similarity double").withColumnRenamed("id", id_col)
     w = Window.partitionBy("query_id").orderBy(F.desc_nulls_last("similarity"), id_col)
     return near.withColumn("similarity", F.round("similarity", digits)).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

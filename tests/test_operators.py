@@ -392,6 +392,34 @@ def test_vectors(spark):
     assert [(r["id"], r["similarity"]) for r in got] == [(1, 1.0), (4, 1.0), (2, None)]
 
 
+def test_nearest_each_holds_little_and_is_dealt_out(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    some = rng.integers(-3, 4, (3000, 4)).astype(float)  # many ties
+    some[:5] = 0
+    unit = some / np.maximum(np.linalg.norm(some, axis=1, keepdims=True), 1e-300)
+    block = lambda at: [pa.array([(np.arange(len(some))[at]).tobytes()], pa.binary()), pa.array([4], pa.int32()), pa.array([np.where(some[at].any(axis=1, keepdims=True), unit[at], np.nan).tobytes()], pa.binary())]
+    names = ["ids", "width", "data", "query_ids", "query_width", "query_data"]
+    pairs = [pa.RecordBatch.from_arrays([*block(slice(k, k + 300)), *block(slice(q, q + 300))], names) for k in range(0, 3000, 300) for q in range(0, 3000, 300)]
+    held, whole = vectors.HELD, pa.Table.from_batches(vectors._best(3, 6)(iter(pairs)))
+    assert whole.num_rows == 9000  # three a query, though each query met ten blocks
+    vectors.HELD = 4000
+    try:
+        parts = list(vectors._best(3, 6)(iter(pairs)))
+    finally:
+        vectors.HELD = held
+    assert max(p.num_rows for p in parts) <= 4000 + 900  # what is held, and the last pair's
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(some)], "id long, embedding array<double>").coalesce(1)
+    near = vectors.nearest_each(rows, rows.select(F.col("id").alias("query_id"), F.col("embedding").alias("query")), 3, digits=6)
+    assert "Exchange RoundRobinPartitioning" in near._jdf.queryExecution().toString() or "RoundRobinPartitioning" in near._jdf.queryExecution().executedPlan().toString()
+    got = {(r["query_id"], r["rank"]): (r["id"], r["similarity"]) for r in near.collect()}
+    score = np.where(some.any(axis=1)[:, None] & some.any(axis=1)[None, :], np.round(unit @ unit.T, 6), -np.inf)
+    order = np.lexsort((np.broadcast_to(np.arange(3000), score.shape), -score), axis=1)[:, :3]
+    assert got == {(q, k + 1): (int(order[q, k]), None if score[q, order[q, k]] == -np.inf else score[q, order[q, k]]) for q in range(3000) for k in range(3)}
+
+
 def test_sources(spark, tmp_path):
     pages = spark.createDataFrame([(1, '<a href="/a%20b.PDF?x">'), (2, '<a href="/a%20b.PDF?x"><a href="/c.html">')], "page_id long, html string")
     got = links.harvest(pages, base="https://cdn", suffix="").orderBy("url").collect()
