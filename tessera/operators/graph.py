@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tessera.storage import discard, written
 
+#: Roles that a task of teaming gets on average at most.
+ROLE_ROWS = 400_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """edges: a, b (longs).  Returns node, root: the smallest node that links lead to; for nodes with an edge to another.
@@ -48,11 +51,21 @@ def repoint(rows: DataFrame, mapping: DataFrame, column: str) -> DataFrame:
     return out.withColumn("_moved", F.coalesce(F.col("_to") != F.col(column), F.lit(False))).withColumn(column, F.coalesce("_to", column)).drop("_id", "_to")
 
 
-def teaming(roles: DataFrame, project: str, firm: str) -> DataFrame:
-    """How many projects each pair of firms shares: a, b, n_projects."""
-    one = roles.select(F.col(project).alias("p"), F.col(firm).alias("a")).distinct()
-    two = one.select("p", F.col("a").alias("b"))
-    return one.join(two, "p").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n_projects"))
+def spread(roles: DataFrame) -> int:
+    """So many partitions that a task gets ROLE_ROWS rows on average at most."""
+    return max(roles.sparkSession.sparkContext.defaultParallelism, -(-roles.count() // ROLE_ROWS))
+
+
+def teaming(roles: DataFrame, project: str, firm: str, parts: int = 0, within: list[str] = ()) -> DataFrame:
+    """How many projects each pair of firms shares: a, b, n_projects; with ``within``, pairs of one value of these columns alone.
+
+    Roles are dealt out by project into as many partitions as their number asks (``parts``: see spread),
+    since partitions joined by their compressed size hold the more rows the more alike these are; what
+    is distinct and which pairs there are is found where they lie.
+    """
+    one = roles.select(F.col(project).alias("p"), F.col(firm).alias("a"), *within).repartition(parts or spread(roles), "p").distinct()
+    two = one.withColumnRenamed("a", "b")
+    return one.join(two, ["p", *within]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("n_projects"))
 
 
 def migrations(work: DataFrame, firm: str, kind: str, at: str, tie: str) -> DataFrame:

@@ -420,6 +420,23 @@ def test_nearest_each_holds_little_and_is_dealt_out(spark):
     assert got == {(q, k + 1): (int(order[q, k]), None if score[q, order[q, k]] == -np.inf else score[q, order[q, k]]) for q in range(3000) for k in range(3)}
 
 
+def test_teaming_is_dealt_out_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(graph, "ROLE_ROWS", 50)
+    roles = spark.createDataFrame([(p, f, f % 3) for p in range(60) for f in (p % 7, p % 5 + 2, p % 5 + 2, 9)] + [(None, 1, 1), (None, 2, 2), (3, None, None)], "p long, f long, kind long")
+    assert graph.spread(roles) == 5
+    assert graph.teaming(roles, "p", "f")._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression [p#") == 2
+    firms = {p: {p % 7, p % 5 + 2, 9} for p in range(60)}
+    wanted = {}
+    for some in firms.values():
+        for a in some:
+            for b in some:
+                if a < b:
+                    wanted[a, b] = wanted.get((a, b), 0) + 1
+    assert {(r["a"], r["b"]): r["n_projects"] for r in graph.teaming(roles, "p", "f").collect()} == wanted
+    alike = {k: n for k, n in wanted.items() if k[0] % 3 == k[1] % 3}
+    assert {(r["a"], r["b"]): r["n_projects"] for r in graph.teaming(roles, "p", "f", within=["kind"]).collect()} == alike
+
+
 def test_sources(spark, tmp_path):
     pages = spark.createDataFrame([(1, '<a href="/a%20b.PDF?x">'), (2, '<a href="/a%20b.PDF?x"><a href="/c.html">')], "page_id long, html string")
     got = links.harvest(pages, base="https://cdn", suffix="").orderBy("url").collect()
