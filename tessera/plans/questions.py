@@ -106,7 +106,10 @@ def market_brief(t: Tables) -> DataFrame:
 @query("WITH p AS (SELECT a.l_suppkey AS firm, b.l_suppkey AS partner, count(DISTINCT a.l_orderkey) AS n FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey WHERE a.l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '2-HIGH') GROUP BY ALL) SELECT firm, partner, n, k::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY firm ORDER BY n DESC, partner) AS k FROM p) WHERE k <= 3")
 def pursuit_dossier(t: Tables) -> DataFrame:
     """Whom to team with: each firm's three most frequent partners in one typology."""
-    some = t.lineitem.join(t.orders.where("o_orderpriority = '2-HIGH'"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
-    pairs = graph.teaming(some, "l_orderkey", "l_suppkey")
-    both = pairs.select(F.col("a").alias("firm"), F.col("b").alias("partner"), F.col("n_projects").alias("n")).unionByName(pairs.select(F.col("b").alias("firm"), F.col("a").alias("partner"), F.col("n_projects").alias("n")))
+    parts = graph.spread(t.lineitem)  # the semi-join, the pairs and the ranks are dealt out alike
+    high = t.orders.where("o_orderpriority = '2-HIGH'").select(F.col("o_orderkey").alias("l_orderkey")).repartition(parts, "l_orderkey")
+    some = t.lineitem.select("l_orderkey", "l_suppkey").repartition(parts, "l_orderkey").join(high, "l_orderkey", "left_semi")
+    pairs = graph.teaming(some, "l_orderkey", "l_suppkey", parts)
+    way = lambda x, y: F.struct(F.col(x).alias("firm"), F.col(y).alias("partner"), F.col("n_projects").alias("n"))
+    both = pairs.select(F.inline(F.array(way("a", "b"), way("b", "a")))).repartition(parts, "firm")
     return both.withColumn("rank", F.row_number().over(Window.partitionBy("firm").orderBy(F.desc("n"), "partner"))).where("rank <= 3")
