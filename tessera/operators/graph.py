@@ -63,7 +63,7 @@ def teaming(roles: DataFrame, project: str, firm: str, parts: int = 0, within: l
     since partitions joined by their compressed size hold the more rows the more alike these are; what
     is distinct and which pairs there are is found where they lie.
     """
-    one = roles.select(F.col(project).alias("p"), F.col(firm).alias("a"), *within).repartition(parts or spread(roles), "p").distinct()
+    one = roles.select(F.col(project).alias("p"), F.col(firm).alias("a"), *within).repartition(parts or spread(roles), "p", *within).distinct()
     two = one.withColumnRenamed("a", "b")
     return one.join(two, ["p", *within]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("n_projects"))
 

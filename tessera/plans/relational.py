@@ -140,11 +140,11 @@ def teaming_pairs(t: Tables) -> DataFrame:
 
 @query("WITH d AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem), m AS (SELECT DISTINCT a.l_suppkey AS a, b.l_suppkey AS b FROM d a JOIN d b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey) SELECT s.s_suppkey, count(DISTINCT o.s_suppkey) AS n_never FROM supplier s LEFT JOIN supplier o ON o.s_nationkey = s.s_nationkey AND o.s_suppkey <> s.s_suppkey AND NOT EXISTS (SELECT 1 FROM m WHERE m.a = s.s_suppkey AND m.b = o.s_suppkey) GROUP BY ALL")
 def never_teamed(t: Tables) -> DataFrame:
-    """With how many firms of its nation a firm never shared a project: counted as a difference, without the pairs."""
+    """With how many firms of its nation a firm never shared a project: counted as a difference, without the pairs.  Only firms of one nation are paired."""
     home = t.supplier.select("s_suppkey", "s_nationkey")
-    met = graph.teaming(t.lineitem, "l_orderkey", "l_suppkey").select("a", "b")
-    both = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.join(home.toDF("a", "na"), "a").join(home.toDF("b", "nb"), "b").where("na = nb").groupBy(F.col("a").alias("s_suppkey")).agg(F.count("*").alias("met"))
+    placed = t.lineitem.select("l_orderkey", "l_suppkey").join(home.hint("shuffle_hash"), F.col("l_suppkey") == F.col("s_suppkey"))  # roles are not sorted
+    met = graph.teaming(placed, "l_orderkey", "l_suppkey", graph.spread(t.lineitem), ["s_nationkey"])
+    near = met.select(F.explode(F.array("a", "b")).alias("s_suppkey")).groupBy("s_suppkey").agg(F.count("*").alias("met"))
     sizes = home.groupBy("s_nationkey").agg(F.count("*").alias("n"))
     return home.join(sizes, "s_nationkey").join(near, "s_suppkey", "left").select("s_suppkey", (F.col("n") - 1 - F.coalesce("met", F.lit(0))).alias("n_never"))
 
