@@ -12,6 +12,8 @@ from tessera.operators.similarity import top_similar
 from tessera.operators.upsert import upsert_sightings, with_ids
 from tessera.storage import written
 
+#: Candidates that a task scores on average at most, each with up to PROJECT_TOP pairs.
+CANDIDATE_ROWS = 50_000
 #: Columns of a project that a candidate has too.
 PLACE = ("city", "county", "state")
 
@@ -29,10 +31,17 @@ def _cost(prefix: str) -> Column:
 
 
 def score_candidates(pairs: DataFrame, candidates: DataFrame, projects: DataFrame) -> DataFrame:
-    """pairs: key, candidate, sim.  Adds score, by name, place, cost and year."""
+    """pairs: key, candidate, sim.  Adds score, by name, place, cost and year.
+
+    Pairs come from joins on names, which may be few; they are dealt out by key into as many partitions
+    as there are candidates for, and what follows a key (the decision) needs no other exchange.
+    """
     wanted = ["id", *PLACE, "cost_usd", "estimated_cost_usd", "year_completed"]
-    c, p = candidates.select(*wanted).alias("c"), projects.select(*wanted).alias("p")
-    both = pairs.alias("x").join(c, F.col("x.key") == F.col("c.id")).join(p, F.col("x.candidate") == F.col("p.id"))
+    parts = max(pairs.sparkSession.sparkContext.defaultParallelism, -(-candidates.count() // CANDIDATE_ROWS))
+    p = projects.select(*wanted).alias("p")
+    c = candidates.select(*wanted).repartition(parts, "id").alias("c")
+    far = pairs.alias("x").join(p, F.col("x.candidate") == F.col("p.id")).select("x.key", "x.candidate", "x.sim", F.struct(*(F.col(f"p.{w}").alias(w) for w in wanted)).alias("p"))
+    both = far.repartition(parts, "key").alias("x").join(c, F.col("x.key") == F.col("c.id"))
     place = place_agrees({k: F.col(f"c.{k}") for k in PLACE}, {k: F.col(f"p.{k}") for k in PLACE})
     score = project_score(F.col("sim"), place, cost_agrees(_cost("c"), _cost("p")), year_agrees(F.col("c.year_completed"), F.col("p.year_completed")))
     return both.select("x.key", "x.candidate", "x.sim", score.alias("score"))

@@ -88,4 +88,5 @@ def top_similar(probes: DataFrame, names: DataFrame, k: int, floor: float = 0.3,
     order = Window.partitionBy("s", "left_name").orderBy(F.desc("sim"), "right_id")
     near = _pairs(probes, names, floor, False, scope).join(_ids(names, "right", scope), ["s", "right_name"])
     best = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = best.hint("shuffle_hash")  # a name's few rows are held, its many probes pass by unsorted
     return best.join(_ids(probes, "left", scope), ["s", "left_name"]).select("left_id", "right_id", "sim", "rank")

@@ -437,6 +437,15 @@ def test_teaming_is_dealt_out_by_rows(spark, monkeypatch):
     assert {(r["a"], r["b"]): r["n_projects"] for r in graph.teaming(roles, "p", "f", within=["kind"]).collect()} == alike
 
 
+def test_project_pairs_are_dealt_out_by_key(spark, monkeypatch):
+    monkeypatch.setattr(projects, "CANDIDATE_ROWS", 10)
+    rows = tables.conform(spark.range(60).select("id", F.concat(F.lit("hall "), F.col("id") % 2).alias("name")), "projects")
+    pairs = projects.find_candidates(rows, rows)  # of two names
+    scored = projects.score_candidates(pairs, rows, rows)
+    assert scored.rdd.getNumPartitions() == 6
+    assert scored.count() == 60 * 8 and scored.select("key").distinct().count() == 60
+
+
 def test_sources(spark, tmp_path):
     pages = spark.createDataFrame([(1, '<a href="/a%20b.PDF?x">'), (2, '<a href="/a%20b.PDF?x"><a href="/c.html">')], "page_id long, html string")
     got = links.harvest(pages, base="https://cdn", suffix="").orderBy("url").collect()
